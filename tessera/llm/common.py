@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -9,8 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session: their Python workers import it."""
+    context = spark.sparkContext
+    if getattr(context, "_tessera_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="tessera-")
+    shutil.copytree(package, f"{folder}/all/tessera", ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(f"{folder}/tessera", "zip", f"{folder}/all"))
+    context._tessera_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables, read by Spark alone so that any store works."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, token_output
+from . import decontaminate, language_id, near_dup, quality, token_output
 
 QUERIES = {
     "op3_token_output": token_output.op3,
     "op7_decontaminate": decontaminate.op7,
+    "op8_near_dup": near_dup.op8,
+    "op9_language_id": language_id.op9,
+    "op10_quality": quality.op10,
 }
 
 ORACLE_SQL = {
