@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, near_dup, quality, token_output
+from . import decontaminate, language_id, mixing, near_dup, quality, token_output, top_k, url_rules
 
 QUERIES = {
     "op3_token_output": token_output.op3,
+    "op4_mixing": mixing.op4,
+    "op5_top_k": top_k.op5,
+    "op6_url_rules": url_rules.op6,
     "op7_decontaminate": decontaminate.op7,
     "op8_near_dup": near_dup.op8,
     "op9_language_id": language_id.op9,
@@ -13,5 +16,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op5_top_k": top_k.OP5_SQL,
     "op7_decontaminate": decontaminate.OP7_SQL,
 }
