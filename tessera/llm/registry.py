@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, mixing, near_dup, quality, token_output, top_k, url_rules
+from . import decontaminate, language_id, line_dedup, mixing, near_dup, quality, secrets, token_output, top_k, url_rules
 
 QUERIES = {
+    "op1_secrets": secrets.op1,
+    "op2_line_dedup": line_dedup.op2,
     "op3_token_output": token_output.op3,
     "op4_mixing": mixing.op4,
     "op5_top_k": top_k.op5,
@@ -16,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_line_dedup": line_dedup.OP2_SQL,
     "op5_top_k": top_k.OP5_SQL,
     "op7_decontaminate": decontaminate.OP7_SQL,
 }
