@@ -96,14 +96,12 @@ def vector_topk(vectors: DataFrame, query: list[float], k: int = 10, where: Colu
 def search_all(vectors: DataFrame, queries: DataFrame, k: int = 10, corpus: str = "label") -> DataFrame:
     """For each query (query_id, query) and each corpus, its k nearest passages: a stated query set against all rows.
 
-    The query set must be small (it is broadcast; the caller states it). Each task keeps its k best of a query and
-    corpus in one aggregate before anything shuffles, so what moves is k rows a task, not all pairs.
+    The query set must be small (it is broadcast; the caller states it). The rank filter lets Spark keep each task's
+    k best of a query and corpus before anything shuffles, so what moves is k rows a task, not all pairs.
     """
     pairs = vectors.select("vec_id", corpus, "embedding").join(F.broadcast(queries), F.lit(True))
     scored = pairs.select("query_id", corpus, "vec_id", F.round(cosine(F.col("embedding"), F.col("query")), 6).alias("score")).where("score IS NOT NULL")
-    best = scored.groupBy("query_id", corpus, F.pmod(F.xxhash64("vec_id"), F.lit(64)).alias("__salt")).agg(F.max_by(F.struct("score", "vec_id"), F.struct("score", -F.col("vec_id")), k).alias("best"))
-    flat = best.select("query_id", corpus, F.explode("best").alias("x")).select("query_id", corpus, "x.vec_id", "x.score")
-    ranked = flat.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", corpus).orderBy(F.desc("score"), "vec_id")))
+    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", corpus).orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k)
 
 

@@ -50,9 +50,10 @@ def _views(x: Dialect) -> dict[str, str]:
         "reviews": """
   SELECT n_name AS department, r_name AS grp, CAST(n_nationkey * 1000 + 500 AS BIGINT) AS sr25_total, CASE WHEN n_nationkey % 4 <> 0 THEN CAST(n_nationkey * 900 AS BIGINT) END AS sr21_total
   FROM nation JOIN region ON n_regionkey = r_regionkey""",
-        "statements": """
-  SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS statement_id, l_orderkey AS source_id, l_suppkey AS s_id, l_partkey AS o_id, l_quantity AS quantity
-  FROM lineitem""",
+        "statements": f"""
+  SELECT statement_id, source_id, s_id, o_id, quantity, lag(statement_id) OVER (PARTITION BY source_id ORDER BY line, o_id, s_id) AS prev
+  FROM (SELECT concat_ws('-', lpad(CAST(l_orderkey AS {x.string}), 12, '0'), CAST(l_linenumber AS {x.string}), CAST(l_partkey AS {x.string}), CAST(l_suppkey AS {x.string})) AS statement_id,
+        l_orderkey AS source_id, l_linenumber AS line, l_suppkey AS s_id, 1000000000 + l_partkey AS o_id, l_quantity AS quantity FROM lineitem) l""",
     }
 
 
