@@ -109,7 +109,7 @@ class ShardWriter:
         self.schema = pa.schema([("ids", pa.list_(value, sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
         self.value = value
         self.writer = pa.ipc.new_stream(sink, self.schema)
-        self.header = sink.tell()
+        self.header = self.schema.serialize().size  # written with the first batch
         self.stride = 0
         self.n_ids = 0
         self.held: list[bytes] = []
@@ -132,9 +132,8 @@ class ShardWriter:
         if valid is not None:
             mask[valid:] = False
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(x, t), self.sequence) for x, t in ((ids, self.value), (mask, pa.bool_()))]
-        before = self.sink.tell()
         self.writer.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
-        self.stride = self.stride or self.sink.tell() - before
+        self.stride = self.stride or self.sink.tell() - self.header
 
     def close(self) -> None:
         data = np.frombuffer(b"".join(self.held), self.kind)
