@@ -4,10 +4,10 @@ A document is the sequence of its lines that aren't blank, trimmed of blanks. Li
 table can't be in a repeated run and drop out before anything else; the others get an ID by rank of their hash.
 
 Doubling: the rank of a suffix's first ``2 ** (k + 1)`` lines is the rank of the pair (rank of its first ``2 ** k``,
-rank of the ``2 ** k`` after them). Distinct pairs, counted before they shuffle, are range-sorted and numbered, so
-ranks keep the order of the suffixes; the ranks of all levels in a row are the key of the suffix array
-(``suffix_array``). Suffixes whose prefix occurs once are resolved and leave, so a level holds only what repeats at
-that length, and the number of levels is the logarithm of the longest repeated run.
+rank of the ``2 ** k`` after them). Distinct pairs, counted before they shuffle, are range-sorted and numbered.
+With all suffixes kept, the last level's ranks are the suffix array (``suffix_array``). For deletion, suffixes whose
+prefix occurs once are resolved and leave, so a level holds only what repeats at that length, and the number of
+levels is the logarithm of the longest repeated run.
 
 Suffixes of equal rank are an interval of the suffix array with that common prefix; the interval of a common prefix
 of any ``n`` lines is named by the ranks of its first and its last ``2 ** k`` lines. At each place the shortest runs that
@@ -62,13 +62,14 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return out
 
 
-def levels(lines: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Ranks of each level among what repeats at its length, and the ranks that resolved suffixes got.
+def levels(lines: DataFrame, drop_resolved: bool = True) -> list[DataFrame]:
+    """Ranks of each level: level k has (d, h, i, r) for suffixes whose first ``2 ** k`` lines occur twice or more.
 
-    Level k has (d, h, i, r) for suffixes whose first ``2 ** k`` lines occur twice or more.
+    Without ``drop_resolved`` all suffixes stay at every level, so that ranks compare all of them; a line that occurs
+    once ends a suffix like the end of its document.
     """
     active = lines.select("d", "h", "i", "r")
-    kept, resolved = [active], []
+    kept = [active]
     for k in range(MAX_LEVELS):
         step = 1 << k
         after = active.select("d", "h", (F.col("i") - step).alias("i"), F.col("r").alias("r2"))
@@ -79,24 +80,20 @@ def levels(lines: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
         ranked, _ = stored(pairs.join(ranks, ["r", "r2"]).select("d", "h", "i", F.col("rank").alias("r"), go_on.alias("repeats")), "level")
         drop_path(lines.sparkSession, pairs_path)
         drop_path(lines.sparkSession, ranks_path)
-        resolved.append(ranked)
         active = ranked.where("repeats").drop("repeats")
+        if active.isEmpty() and drop_resolved:
+            break
+        kept.append(active if drop_resolved else ranked.drop("repeats"))
         if active.isEmpty():
             break
-        kept.append(active)
-    return kept, resolved
+        active = kept[-1]
+    return kept
 
 
 def suffix_array(docs: DataFrame) -> DataFrame:
-    """The suffixes that begin with a repeated line, in order: d, h, i and their ranks by level."""
-    lines = repeated_lines(_unique(docs))
-    kept, resolved = levels(lines)
-    parts = [kept[0].select("d", "h", "i", F.lit(-1).alias("level"), "r")] + [x.select("d", "h", "i", F.lit(k).alias("level"), "r") for k, x in enumerate(resolved)]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.union(part)
-    ranks = every.groupBy("d", "h", "i").agg(F.transform(F.array_sort(F.collect_list(F.struct("level", "r"))), lambda x: x["r"]).alias("ranks"))
-    return ranks.orderBy("ranks", "d", "h", "i")
+    """The suffixes that begin with a repeated line, in order: d, h, i and ``rank`` (equal suffixes share one)."""
+    last = levels(repeated_lines(_unique(docs)), drop_resolved=False)[-1]
+    return last.withColumnRenamed("r", "rank").orderBy("rank", "d", "h", "i")
 
 
 def copies(lines: DataFrame, kept: list[DataFrame], min_lines: int, min_words: int) -> DataFrame:
@@ -143,7 +140,7 @@ def copies(lines: DataFrame, kept: list[DataFrame], min_lines: int, min_words: i
 
 def maximal_runs(lines: DataFrame, *, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """The maximal repeated runs that occur before: (d, h, i), the first copy q, and ``run`` lines."""
-    kept, _ = levels(lines)
+    kept = levels(lines)
     by_doc = Window.partitionBy("d", "h").orderBy("i")
     found = copies(lines, kept, min_lines, min_words)
     goes_on = (F.lag("i").over(by_doc) == F.col("i") - 1) & (F.lag("q").over(by_doc) == F.struct(F.col("q.d"), F.col("q.h"), F.col("q.i") - 1))
@@ -169,9 +166,10 @@ def deleted_places(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: in
 def dedup_lines(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the lines of later copies, and columns __lines and __deleted: how many there were and went."""
     docs = _unique(docs)
-    places, _ = stored(deleted_places(docs, min_lines=min_lines, min_words=min_words), "places")
+    found, _ = stored(deleted_places(docs, min_lines=min_lines, min_words=min_words), "places")
+    found = found.toDF("__pd", "__ph", "__places")
     keyed = docs.withColumn("__d", F.col("doc_id").cast("long")).withColumn("__h", F.xxhash64("text"))
-    joined = keyed.join(places, F.col("__d").eqNullSafe(F.col("d")) & (F.col("__h") == F.col("h")), "left")
+    joined = keyed.join(found, F.col("__d").eqNullSafe(F.col("__pd")) & (F.col("__h") == F.col("__ph")), "left")
     lines = F.split("text", "\n")
     blank = F.transform(lines, lambda x: F.trim(x) == "")
     # a line's place among those that aren't blank: the running count, as one array
@@ -182,12 +180,12 @@ def dedup_lines(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int =
         lambda s: s["out"],
     )
     whole = F.col("text")
-    kept = F.array_join(F.transform(F.filter(F.arrays_zip(lines.alias("line"), numbers.alias("place")), lambda x: ~F.array_contains(F.col("places"), x["place"])), lambda x: x["line"]), "\n")
+    kept = F.array_join(F.transform(F.filter(F.arrays_zip(lines.alias("line"), numbers.alias("place")), lambda x: ~F.array_contains(F.col("__places"), x["place"])), lambda x: x["line"]), "\n")
     total = F.coalesce(F.size(F.filter(blank, lambda x: ~x)), F.lit(0))
     return joined.select(
-        *[F.when(F.col("places").isNull(), whole).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        *[F.when(F.col("__places").isNull(), whole).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
         F.when(whole.isNull(), 0).otherwise(total).cast("long").alias("__lines"),
-        F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("__deleted"),
+        F.coalesce(F.size("__places"), F.lit(0)).cast("long").alias("__deleted"),
     )
 
 
