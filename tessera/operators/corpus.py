@@ -74,7 +74,9 @@ def batches(rows: DataFrame, size: int, order: list[str]) -> DataFrame:
     Positions come in two levels, so that no task numbers all rows: rows are dealt by a range of the first key,
     counted by partition, and numbered within.
     """
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id())
+    # a stated number of partitions: adaptive execution may merge others, differently in the two readings
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id())
     counts = dealt.groupBy("__p").agg(F.count("*").alias("n"))
     before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__p", "before")
     place = F.col("before") + (F.col("__m") - F.shiftleft(F.col("__p").cast("long"), 33))
