@@ -70,7 +70,7 @@ _DATES = "2025|202606|2026-06|20260901|2026-09-01| 2025 |25|20251|2025-1|202613|
 DATES = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_DATES)) + ", (99, NULL)) AS t(id, x)"
 _CELLS = ["case.pdf, annex.docx", "report, final.pdf,b.docx", "a.pdf,a.pdf, ,b.pdf", "tail.pdf, no extension", "nan", " ", "x,y,z", "one.pdf", "a.tar.gz,b"]
 CELLS = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_CELLS)) + ", (99, NULL)) AS t(id, x)"
-_SUBMITTERS = ["GATS_test", "00_Test", "UPLOAD FOR TESTING", "test", "Contest Ltd", "Attest", "Latest News", "Test Valley Council", "testing "]
+_SUBMITTERS = ["Export_test", "00_Test", "UPLOAD FOR TESTING", "test", "Contest Ltd", "Attest", "Latest News", "Test Valley Council", "testing "]
 SUBMITTERS = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_SUBMITTERS)) + ", (99, NULL)) AS t(id, x)"
 _MONEY = ["£1,234", '"41,464,000"', "12.7", "", "n/a", "-5", "£", "7"]
 MONEY = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_MONEY)) + ", (99, NULL)) AS t(id, x)"

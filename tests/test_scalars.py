@@ -34,7 +34,7 @@ def test_export_dates(spark):
 
 
 def test_test_names(spark):
-    for name in ("GATS_test", "00_Test", "PUT IN FOR TESTING", "test"):
+    for name in ("Export_test", "00_Test", "PUT IN FOR TESTING", "test"):
         assert one(spark, S.is_test_name, name)
     for name in ("Contest Ltd", "Attest", "Latest News", "Test Valley Council", None):
         assert not one(spark, S.is_test_name, name)
