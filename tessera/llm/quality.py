@@ -28,6 +28,8 @@ from .common import crc32_of_id, stored, table
 
 FEATURES = 256
 RIDGE = 1e-3
+#: The kernel's width in standard deviations a statistic, and where statistics end: an outlier stays near the others of its kind.
+WIDTH, CLIP = 1.5, 5
 MAX_LABELLED = 200_000
 BINS = 400
 THRESHOLD = 0.3
@@ -86,13 +88,13 @@ class QualityModel:
     def __init__(self, mean: np.ndarray, scale: np.ndarray, features: int = FEATURES, seed: int = 7) -> None:
         random = np.random.default_rng(seed)
         self.mean, self.scale = mean, scale
-        self.directions = random.normal(size=(len(mean), features)) / np.sqrt(len(mean))
+        self.directions = random.normal(size=(len(mean), features)) / (WIDTH * np.sqrt(len(mean)))
         self.phases = random.uniform(0, 2 * np.pi, features)
         self.weights = np.zeros(features + 1)
         self.steps: tuple[np.ndarray, np.ndarray] = (np.array([0.0]), np.array([0.5]))
 
     def expand(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -8, 8)
+        z = np.clip((x - self.mean) / self.scale, -CLIP, CLIP)
         cosines = np.sqrt(2 / len(self.phases)) * np.cos(z @ self.directions + self.phases)
         return np.concatenate([cosines, np.ones((len(x), 1))], axis=1)
 
