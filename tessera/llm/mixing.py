@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import drop_path, stored, table
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -79,11 +79,11 @@ def schedule(docs: DataFrame, extra: list[str] | None = None, *, weights: tuple[
         F.xxhash64(F.lit(seed), "doc_id", "text").alias("__draw"),
         F.struct(*[F.col(c) for c in carried]).alias("__row") if carried else F.lit(None).cast("string").alias("__row"),
     )
-    rows, _ = stored(keyed, "sizes")
-    sources, _ = stored(rows.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"), F.count("*").alias("n")), "sources")
+    rows, rows_path = stored(keyed, "sizes")
+    sources, sources_path = stored(rows.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"), F.count("*").alias("n")), "sources")
     shares = targets(sources.select("source", "source_size"), weights=weights, share=share, max_repeats=max_repeats)
     shares = shares.join(sources.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    shares, _ = stored(shares.withColumn("buckets", F.ceil(F.col("n") / bucket_rows)), "targets")
+    shares, shares_path = stored(shares.withColumn("buckets", F.ceil(F.col("n") / bucket_rows)), "targets")
 
     total = rows.join(shares, F.col("__source").eqNullSafe(F.col("source")))
     placed = total.withColumn("__bucket", F.floor((F.shiftrightunsigned("__draw", 1) / F.lit(float(1 << 63))) * F.col("buckets")).cast("long"))
@@ -94,6 +94,8 @@ def schedule(docs: DataFrame, extra: list[str] | None = None, *, weights: tuple[
     timed = running.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("__bucket") == F.col("b"))).withColumn("__cum", F.col("__sum") + F.col("offset"))
     timed = timed.select("__id", "__source", "__size", "__draw", "__row", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), "__cum", F.when(F.col("target") > 0, F.col("__cum") / F.col("target")).alias("__finish"))
     timed, _ = stored(timed, "finish")
+    for path in (rows_path, sources_path, shares_path):
+        drop_path(docs.sparkSession, path)
     return timed, _cut(timed, max_repeats)
 
 
