@@ -50,13 +50,13 @@ def _key() -> list:
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """The lines that occur twice or more: document (d, h), place i among its lines, words, line hash."""
-    lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.trim(x)), lambda x: x != "")
-    rows = docs.where(F.col("text").isNotNull()).select(*_key(), F.posexplode(lines).alias("i", "line"))
-    rows = rows.select("d", "h", "i", F.xxhash64("line").alias("a"), F.hash("line").alias("b"), F.regexp_count("line", F.lit("[^ \t]+")).alias("w"))
+    """The lines that occur twice or more: document (d, h), place i among its lines, p with blank ones, words w, ID r."""
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x, p: F.struct(p.alias("p"), F.trim(x).alias("line"))), lambda x: x["line"] != "")
+    rows = docs.where(F.col("text").isNotNull()).select(*_key(), F.posexplode(lines).alias("i", "x")).select("d", "h", "i", "x.p", "x.line")
+    rows = rows.select("d", "h", "i", "p", F.xxhash64("line").alias("a"), F.hash("line").alias("b"), F.regexp_count("line", F.lit("[^ \t]+")).alias("w"))
     rows, path = stored(rows, "lines")
     ids, ids_path = stored(rows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").orderBy("a", "b").select("a", "b", (F.monotonically_increasing_id() + 1).alias("r")), "line-ids")
-    out, _ = stored(rows.join(ids, ["a", "b"]).select("d", "h", "i", "w", "r"), "repeated")
+    out, _ = stored(rows.join(ids, ["a", "b"]).select("d", "h", "i", "p", "w", "r"), "repeated")
     drop_path(docs.sparkSession, path)
     drop_path(docs.sparkSession, ids_path)
     return out
@@ -157,10 +157,12 @@ def maximal_runs(lines: DataFrame, *, min_lines: int = MIN_LINES, min_words: int
 
 
 def deleted_places(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
-    """Per document (d, h) with deletions: ``places``, the sorted places among its lines that aren't blank."""
-    runs = maximal_runs(repeated_lines(docs), min_lines=min_lines, min_words=min_words)
+    """Per document (d, h) with deletions: ``places``, the positions of its deleted lines, blank ones counted."""
+    lines = repeated_lines(docs)
+    runs = maximal_runs(lines, min_lines=min_lines, min_words=min_words)
     places = runs.select("d", "h", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("run") - 1)).alias("i"))
-    return places.groupBy("d", "h").agg(F.sort_array(F.collect_set("i")).alias("places"))
+    # every line of a run is repeated, so its position is among these
+    return places.join(lines.select("d", "h", "i", "p"), ["d", "h", "i"]).groupBy("d", "h").agg(F.collect_set("p").alias("places"))
 
 
 def dedup_lines(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
@@ -171,27 +173,20 @@ def dedup_lines(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int =
     keyed = docs.withColumn("__d", F.col("doc_id").cast("long")).withColumn("__h", F.xxhash64("text"))
     joined = keyed.join(found, F.col("__d").eqNullSafe(F.col("__pd")) & (F.col("__h") == F.col("__ph")), "left")
     lines = F.split("text", "\n")
-    blank = F.transform(lines, lambda x: F.trim(x) == "")
-    # a line's place among those that aren't blank: the running count, as one array
-    numbers = F.aggregate(
-        blank,
-        F.struct(F.lit(-1).alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda s, x: F.struct((s["at"] + F.when(x, 0).otherwise(1)).alias("at"), F.concat(s["out"], F.array(F.when(x, -1).otherwise(s["at"] + 1))).alias("out")),
-        lambda s: s["out"],
-    )
-    whole = F.col("text")
-    kept = F.array_join(F.transform(F.filter(F.arrays_zip(lines.alias("line"), numbers.alias("place")), lambda x: ~F.array_contains(F.col("__places"), x["place"])), lambda x: x["line"]), "\n")
-    total = F.coalesce(F.size(F.filter(blank, lambda x: ~x)), F.lit(0))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__places"))
+    # the lines are bound once, as the one element of an array; inside the inner function they are a value
+    kept = F.transform(F.array(lines), lambda all_lines: F.array_join(F.transform(left, lambda p: F.get(all_lines, p)), "\n"))[0]
+    total = F.size(F.filter(lines, lambda x: F.trim(x) != ""))
     return joined.select(
-        *[F.when(F.col("__places").isNull(), whole).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        F.when(whole.isNull(), 0).otherwise(total).cast("long").alias("__lines"),
-        F.coalesce(F.size("__places"), F.lit(0)).cast("long").alias("__deleted"),
+        *[F.when(F.col("__places").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        F.when(F.col("text").isNull(), 0).otherwise(total).cast("long").alias("__lines"),
+        F.when(F.col("__places").isNull(), 0).otherwise(F.size("__places")).cast("long").alias("__deleted"),
     )
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return docs.select("doc_id", F.col("__lines").alias("n_lines"), F.greatest("__deleted", F.lit(0)).alias("n_deleted"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("kept_md5"))
+    return docs.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__deleted").alias("n_deleted"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("kept_md5"))
 
 
 OP2_SQL = f"""
