@@ -5,10 +5,13 @@ with the rule's; the longest that fits decides.
 
 URLs without a fixed rule are judged by mined rules. A URL's tokens are its scheme, host labels by place, the words of
 host labels, path segments (numbers as one token) and query names. Spark's FP-growth finds token combinations that
-are frequent together with the label ``block`` among labelled URLs; rules need a least support and confidence, and a
-rule goes if one with a subset of its tokens is as confident. The rules (at most ``MAX_RULES``, the most confident
-and most frequent, after mining) are held in an inverted index under their rarest token, so a URL looks up its own
-tokens only and checks the few rules they lead to. A URL that a rule matches is blocked, others allowed.
+are frequent together with the label ``block`` among labelled URLs, of any number of tokens; rules need a least support
+(``MIN_SUPPORT``, a share of all labelled URLs, blocked or not) and confidence, and a rule goes if one with a subset of
+its tokens is as confident. Every frequent combination is judged, where it was mined, by the row numbers of its tokens
+(their size is bound by ``MAX_LABELLED``). Tokens of the very same rows are mined as one, and tokens of blocked rows
+only are rules by themselves; neither changes the rules. Only then are the rules cut to ``MAX_RULES``, the most
+confident and then the most frequent. They are held in an inverted index under their rarest token, so a URL looks up
+its own tokens only and checks the few rules they lead to. A URL that a rule matches is blocked, others allowed.
 
 Labels are given by the caller. ``weak_labels`` makes them for tables without any: words of a fixed list in the host
 mark a URL as blocked. At most about ``MAX_LABELLED`` labelled URLs are mined, chosen by hash (the documented bound).
@@ -21,9 +24,13 @@ get a row. An empty table gives an empty result. Only page_id and url are read.
 
 from __future__ import annotations
 
+import math
 import re
+from itertools import islice, product
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +43,6 @@ MAX_LABELLED = 50_000
 MAX_RULES = 5_000
 MIN_SUPPORT = 0.001
 MIN_CONFIDENCE = 0.9
-MAX_TOKENS = 3
 _BLOCKED = "=block"
 _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _URL = r"(?s)^(.*?)://([^/?#]*)([^?#]*)"
@@ -74,46 +80,97 @@ def weak_labels(pages: DataFrame) -> DataFrame:
     return pages.where(F.col("url").contains("://")).select("url", F.arrays_overlap(words, F.array(*map(F.lit, BLOCK_WORDS))).alias("blocked"))
 
 
-def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_labelled: int = MAX_LABELLED) -> list[tuple[frozenset, float, float]]:
-    """Rules (tokens, confidence, support) for ``block`` from (url, blocked)."""
+def _rules(shared, n: int, min_support: float, min_confidence: float):
+    """Keeps the itemsets that are rules and that no rule with one token less makes needless; ``shared`` has the places."""
+
+    def judged(items) -> tuple[float, float]:
+        allowed, blocked = (_common([places[t] for t in items]) for places in shared.value)
+        return blocked / (allowed + blocked), blocked / n
+
+    def keep(batches):
+        for batch in batches:
+            out = []
+            for items in batch.column(0).to_pylist():
+                confidence, support = judged(items)
+                if confidence < min_confidence or support < min_support:
+                    continue
+                if len(items) > 1 and any(judged(items[:i] + items[i + 1 :])[0] >= confidence for i in range(len(items))):
+                    continue
+                out.append((items, confidence, support))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.list_(pa.string())), *(pa.array([x[i] for x in out], pa.float64()) for i in (1, 2))], names=["items", "confidence", "support"])
+
+    return keep
+
+
+def _common(places: list[np.ndarray]) -> int:
+    """How many numbers are in all of the sorted arrays."""
+    first, *others = sorted(places, key=len)
+    for other in others:
+        if not len(first):
+            break
+        first = first[other[np.minimum(np.searchsorted(other, first), len(other) - 1)] == first]
+    return len(first)
+
+
+def _placer(tokens):
+    """Per partition, token and label: the numbers of the rows that hold the token."""
+
+    def place(batches):
+        part, row, found = TaskContext.get().partitionId() << 32, 0, {}
+        for batch in batches:
+            for items in batch.column(0).to_pylist():
+                blocked = _BLOCKED in items
+                for token in items:
+                    if token in tokens.value:
+                        found.setdefault((token, blocked), []).append(part + row)
+                row += 1
+        yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([b for _, b in found], pa.bool_()), pa.array([np.array(x, "<i8").tobytes() for x in found.values()], pa.binary())], names=["token", "blocked", "places"])
+
+    return place
+
+
+def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_labelled: int = MAX_LABELLED, max_rules: int = MAX_RULES) -> list[tuple[frozenset, float, float]]:
+    """Rules (tokens, confidence, support) for ``block`` from (url, blocked); support is the share of all labelled rows."""
     labelled = labelled.where(F.col("url").isNotNull() & F.col("blocked").isNotNull())
-    total = labelled.count()
+    spark, total = labelled.sparkSession, labelled.count()
     draw = F.pmod(F.xxhash64(F.lit(5), "url", F.col("blocked")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # equal URLs are drawn together, so they are thinned by hash of the URL and counted whole
     sample = labelled.where(draw < max_labelled / max(1, total)).select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "blocked")
     items, _ = stored(sample.mapInArrow(_tokeniser, "items array<string>"), "items")
     n = items.count()
-    blocked = items.where(F.array_contains("items", _BLOCKED))
-    if not n or blocked.isEmpty():
+    blocked = items.where(F.array_contains("items", _BLOCKED)).select(F.array_remove("items", _BLOCKED).alias("items"))
+    n_blocked = blocked.count()
+    need = max(1, math.ceil(min_support * n - 1e-9))
+    if n_blocked < need:
         return []
-    # mining the blocked rows gives every combination frequent together with the label; its count among all rows, the confidence
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, 0.02)), minConfidence=min_confidence).fit(blocked.select(F.array_remove("items", _BLOCKED).alias("items")))
-    sets = model.freqItemsets.where(F.size("items") <= MAX_TOKENS).orderBy(F.desc("freq"), F.size("items"), F.sort_array("items")).limit(MAX_RULES).collect()
-    wanted = {frozenset(r["items"]): r["freq"] for r in sets}
-    counts = dict.fromkeys(wanted, 0)
-    index = _index(wanted, {t: 0 for s in wanted for t in s})
-    shared = items.sparkSession.sparkContext.broadcast(index)
-
-    def count(batches):
-        found: dict[tuple, int] = {}
-        for batch in batches:
-            for row in batch.column(0).to_pylist():
-                have = set(row)
-                for token in row:
-                    for rule in shared.value.get(token, ()):
-                        if rule <= have:
-                            key = tuple(sorted(rule))
-                            found[key] = found.get(key, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(map(list, found)), pa.list_(pa.string())), pa.array(list(found.values()), pa.int64())], names=["rule", "n"])
-
-    for row in items.mapInArrow(count, "rule array<string>, n long").groupBy("rule").agg(F.sum("n").alias("n")).collect():
-        counts[frozenset(row["rule"])] = row["n"]
-    rules = [(s, f / counts[s], f / n) for s, f in wanted.items() if counts[s] and f / counts[s] >= min_confidence and f / n >= min_support]
+    often = {r["token"] for r in blocked.select(F.explode("items").alias("token")).groupBy("token").count().where(F.col("count") >= need).collect()}
+    places: tuple[dict, dict] = ({}, {})
+    for r in items.mapInArrow(_placer(spark.sparkContext.broadcast(often)), "token string, blocked boolean, places binary").collect():
+        places[r["blocked"]].setdefault(r["token"], []).append(np.frombuffer(r["places"], "<i8"))
+    allowed_at, blocked_at = ({t: np.sort(np.concatenate(x)) if (x := at.get(t)) else np.empty(0, "<i8") for t in often} for at in places)
+    # tokens of the very same rows stand for each other: one is mined
+    alike: dict[tuple, list[str]] = {}
+    for token in sorted(often):
+        alike.setdefault((allowed_at[token].tobytes(), blocked_at[token].tobytes()), []).append(token)
+    classes = {x[0]: x for x in alike.values()}
+    # a token of blocked rows only is a rule that no larger one betters, and a token of all rows adds nothing to others
+    alone = lambda t: len(blocked_at[t]) / (len(allowed_at[t]) + len(blocked_at[t]))
+    mined = {t for t in classes if len(allowed_at[t]) and len(allowed_at[t]) + len(blocked_at[t]) < n}
+    found = [(frozenset([t]), alone(t), len(blocked_at[t]) / n) for t in classes if t not in mined and alone(t) >= min_confidence]
+    if mined:
+        shared = spark.sparkContext.broadcast(({t: allowed_at[t] for t in mined}, {t: blocked_at[t] for t in mined}))
+        # mining the blocked rows gives every combination frequent together with the label; half a row less keeps rounding out of the bound
+        model = FPGrowth(itemsCol="items", minSupport=(need - 0.5) / n_blocked, minConfidence=min_confidence).fit(blocked.select(F.array_intersect("items", F.lit(sorted(mined))).alias("items")))
+        sets = model.freqItemsets.select("items").mapInArrow(_rules(shared, n, need / n, min_confidence), "items array<string>, confidence double, support double")
+        found += [(frozenset(r["items"]), r["confidence"], r["support"]) for r in sets.collect()]
     kept: list[tuple[frozenset, float, float]] = []
-    for rule in sorted(rules, key=lambda r: (len(r[0]), -r[1], -r[2], sorted(r[0]))):
-        if not any(r[0] <= rule[0] and r[1] >= rule[1] for r in kept):
+    under: dict[str, list[tuple[frozenset, float]]] = {}
+    for rule in sorted(found, key=lambda r: (len(r[0]), -r[1], -r[2], sorted(r[0]))):
+        if not any(tokens <= rule[0] and confidence >= rule[1] for t in rule[0] for tokens, confidence in under.get(t, ())):
             kept.append(rule)
-    return kept
+            under.setdefault(min(rule[0]), []).append(rule[:2])
+    kept.sort(key=lambda r: (-r[1], -r[2], len(r[0]), sorted(r[0])))
+    return list(islice(((frozenset(x), c, s) for tokens, c, s in kept for x in product(*(classes[t] for t in sorted(tokens)))), max_rules))
 
 
 def _index(rules, frequency: dict[str, int]) -> dict[str, list[frozenset]]:

@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -198,6 +199,32 @@ def test_url_rules(spark, sf):
     assert hosts.count() == spark.read.parquet(f"{sf}/pages.parquet").count()
 
 
+def brute_rules(rows, min_support=url_rules.MIN_SUPPORT, min_confidence=url_rules.MIN_CONFIDENCE):
+    sets = [(frozenset(url_rules.tokens_of(u, u.split("/")[2], u.partition("://")[2].partition("/")[1] + u.partition("://")[2].partition("/")[2].partition("?")[0])), b) for u, b in rows]
+    held = {frozenset(c) for s, b in sets if b for k in range(1, len(s) + 1) for c in combinations(sorted(s), k)}
+    out = {}
+    for c in held:
+        marks = [b for s, b in sets if c <= s]
+        if sum(marks) >= min_support * len(rows) and sum(marks) >= min_confidence * len(marks):
+            out[c] = (sum(marks) / len(marks), sum(marks) / len(rows))
+    return {c: v for c, v in out.items() if not any(d < c and w[0] >= v[0] for d, w in out.items())}
+
+
+def test_url_rules_are_whole(spark):
+    ship(spark)
+    # one blocked host holds most blocked rows; the rare combination of four tokens is in under 2 % of them
+    rows = [(f"http://www.big.com/a{i % 7}/z", True) for i in range(180)] + [(f"http://www.big.com/ok{i}", False) for i in range(30)]
+    rows += [("http://www.rare.com/p/q?r=1", True)] * 3 + [(f"http://www.{x}", False) for x in ("rare.com/p/q", "rare.com/p?r=1", "rare.com/q?r=1", "other.com/p/q?r=2") for _ in range(4)]
+    rows += [(f"http://www.s{i % 40}.com/z", False) for i in range(500)]
+    train = spark.createDataFrame(rows, "url string, blocked boolean").repartition(3)
+    got = {r: (c, s) for r, c, s in url_rules.mine(train, min_support=0.002)}
+    expected = brute_rules(rows, 0.002)
+    assert frozenset(["p:p", "p:q", "q:r", "w:rare"]) in expected
+    assert got.keys() == expected.keys() and all(got[k] == pytest.approx(expected[k]) for k in got)
+    few = url_rules.mine(train, min_support=0.002, max_rules=3)
+    assert [r[1:] for r in few] == sorted((r[1:] for r in few), reverse=True) and sorted((got[r[0]] for r in few)) == sorted(sorted(got.values())[-3:])
+
+
 # -- near duplicates ------------------------------------------------------------------------------
 
 
