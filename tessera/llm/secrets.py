@@ -1,7 +1,9 @@
 """Secret scan: candidates from whole texts, and a random forest that removes false positives. DataFrame only.
 
-A candidate is a blank-delimited word with a run of at least ``MIN_LENGTH`` characters ``[A-Za-z0-9+/_=-]`` that has a
-digit or changes from lower to upper case inside. Its longest such run is the value; it is described by its length,
+A candidate is a run of at least ``MIN_LENGTH`` characters ``[A-Za-z0-9+/_=-]`` in a blank-delimited word that has a
+digit or changes from lower to upper case inside. Every such run of a word is a candidate with a number of its own, as
+minified JSON has many in one word. The word is then cut after each run and the signs that follow it, so that each run
+has its own surrounding text, and the runs beside it are its neighbours. The run is the value; it is described by its length,
 its shares of character kinds, its character transitions (kind to kind, and within letters between vowels and
 consonants), its distinct characters, how much of it words of a small dictionary cover, signs of a path or address
 around it, and the neighbouring words (the two before, the one after): words that announce secrets, words that
@@ -15,9 +17,9 @@ Its ``EXAMPLES`` rows are the documented bound of the fit, whatever the table's
 Only texts with a digit or a change of case inside a word, and a long enough run, are cut into words at all; cutting and
 describing stay in the row, and only candidates leave it. There is no shuffle, so no hot key.
 
-Edge cases: null and empty texts have no candidate. Repeated rows and repeated candidates each give a row. A word that
-holds several runs counts by its longest, the first of equals. An empty table gives an empty result. Only doc_id and
-text are read.
+Edge cases: null and empty texts have no candidate. Repeated rows and repeated candidates each give a row. A labelled
+finding without a value is described by the longest run of its word, the first of equals. An empty table gives an empty
+result. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -38,7 +40,10 @@ TREES = 40
 DEPTH = 8
 SEED = 17
 THRESHOLD = 0.5
-RUN = f"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}"
+_SIGN = "[A-Za-z0-9+/_=-]"
+RUN = f"{_SIGN}{{{MIN_LENGTH},}}"
+#: A whole run that has a digit or changes from lower to upper case; tried only where a run starts, so in linear time.
+FOUND = f"(?<!{_SIGN})(?={_SIGN}*?(?:[0-9]|[a-z][A-Z])){RUN}"
 DICTIONARY = "account address admin application backup build button cache change client cloud color column commit config connection container content controller count customer data database date default delete description document download element email enable error event example export factory field file filter folder format function global group handler header image import index input instance internal invalid item key label language layout length level library line list load local location log manager message method model module name network node number object option order output page parameter parent password path placeholder plugin point print process profile project property public query reader record register release remote report request response result return sample schema script search section secret select server service session setting source start state status storage store string style system table target template test text thread time title token type update upload user utils value variable version view width window worker write".split()
 ANNOUNCE = "key|token|secret|passw|pwd|credential|auth|bearer|apikey|private|access|signature"
 HARMLESS = "commit|sha|md5|checksum|digest|hash|etag|uuid|guid|isbn|card|serial|version|build|rev|revision|blob|tree|phone|invoice|order"
@@ -47,14 +52,28 @@ FEATURES = ("length", "digits", "upper", "lower", "signs", "changes", "vowel_cha
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Per candidate: doc_id, place (the word's number), before2, before, word, after."""
+    """Per candidate: doc_id, place (the word's number), run (its number in the word), before2, before, word, after, value."""
     text = F.col("text")
     likely = docs.where(text.rlike("[0-9]|[a-z][A-Z]") & text.rlike(RUN)).select(F.col("doc_id").cast("long").alias("doc_id"), F.split(text, r"\s+").alias("words"))
-    is_one = lambda w: (F.length(w) >= MIN_LENGTH) & w.rlike(RUN) & F.regexp_extract(w, RUN, 0).rlike("[0-9]|[a-z][A-Z]")
-    places = F.filter(F.transform("words", lambda w, i: F.when(is_one(w), i)), lambda i: i.isNotNull())
-    found = likely.withColumn("place", F.explode(places))
-    near = lambda k: F.coalesce(F.get(F.col("words"), F.col("place") + k), F.lit(""))
-    return found.select("doc_id", F.col("place").cast("long").alias("place"), near(-2).alias("before2"), near(-1).alias("before"), near(0).alias("word"), near(1).alias("after"))
+    near = lambda i: F.coalesce(F.get(F.col("words"), i), F.lit(""))
+    one = lambda w, i: F.when((F.length(w) >= MIN_LENGTH) & w.rlike(FOUND), F.struct(i.cast("long").alias("place"), near(i - 2).alias("before2"), near(i - 1).alias("before"), w.alias("word"), near(i + 1).alias("after")))
+    found = likely.select("doc_id", F.explode(F.filter(F.transform("words", one), lambda x: x.isNotNull())).alias("x")).select("doc_id", "x.*")
+    # bound once per word: its runs, and the text around them
+    cut = F.array(F.struct(F.regexp_extract_all("word", F.lit(FOUND), F.lit(0)).alias("runs"), F.split("word", FOUND, -1).alias("rest")))
+
+    def piece(runs: Column, rest: Column, run: Column, k: Column) -> Column:
+        behind = F.get(rest, k + 1)
+        return F.struct(
+            k.cast("long").alias("run"),
+            F.when(k == 0, F.col("before2")).otherwise(F.col("before")).alias("before2"),
+            F.when(k == 0, F.col("before")).otherwise(F.get(runs, k - 1)).alias("before"),
+            F.concat(F.get(rest, k), run, F.when(k + 1 == F.size(runs), behind).otherwise(F.regexp_extract(behind, "^[^A-Za-z0-9]*", 0))).alias("word"),
+            F.coalesce(F.get(runs, k + 1), F.col("after")).alias("after"),
+            run.alias("value"),
+        )
+
+    pieces = F.flatten(F.transform(cut, lambda c: F.transform(c["runs"], lambda run, k: piece(c["runs"], c["rest"], run, k))))
+    return found.select("doc_id", "place", F.explode(pieces).alias("x")).select("doc_id", "place", "x.*")
 
 
 def value_of(word: Column) -> Column:
@@ -65,7 +84,8 @@ def value_of(word: Column) -> Column:
 
 def described(rows: DataFrame) -> DataFrame:
     """The candidates with their value and features."""
-    rows = rows.withColumn("value", value_of(F.col("word")))
+    if "value" not in rows.columns:
+        rows = rows.withColumn("value", value_of(F.col("word")))
     value, n = F.col("value"), F.length("value")
     count = lambda pattern: F.regexp_count(value, F.lit(pattern))
     share = lambda pattern: count(pattern) / n
@@ -140,12 +160,12 @@ def train(findings: DataFrame, *, trees: int = TREES, depth: int = DEPTH, seed:
 
 
 def scan(docs: DataFrame, model: RandomForestClassificationModel, *, threshold: float = THRESHOLD) -> DataFrame:
-    """Per candidate: doc_id, place, word, value, score (0 to 1) and is_secret."""
+    """Per candidate: doc_id, place, run, word (its part of it), value, score (0 to 1) and is_secret."""
     judged = model.transform(_assembler().transform(described(candidates(docs))))
     score = vector_to_array("probability")[1]
-    return judged.select("doc_id", "place", "word", "value", score.alias("score"), (score >= threshold).alias("is_secret"))
+    return judged.select("doc_id", "place", "run", "word", "value", score.alias("score"), (score >= threshold).alias("is_secret"))
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"), train(example_findings(spark)))
-    return found.select("doc_id", "place", F.length("value").cast("long").alias("length"), F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), F.round("score", 6).alias("score"), "is_secret")
+    return found.select("doc_id", "place", "run", F.length("value").cast("long").alias("length"), F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), F.round("score", 6).alias("score"), "is_secret")

@@ -358,6 +358,28 @@ def test_secrets(spark, documents):
     assert secrets.scan(documents.limit(0), model).count() == 0
 
 
+def test_every_run_of_a_word(spark, documents):
+    key, other = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "04dbebc1f7a94e6b8d23a5f09c7714e2ab65d3f8"
+    texts = [
+        (30, f'{{"aws_secret_access_key":"{key}"}}'),
+        (31, f"stripe_api_secret_key:{key}"),
+        (32, f'say {{"api_key":"{key}","commit":"{other}","stripe_api_secret_key":"{other}"}} end'),
+        (33, f"{key}.{key}"),
+        (34, "a_lower_case_name_only:" + "x" * 50 + ";short1 " + "-" * 5000),
+    ]
+    docs = docs_of(spark, texts)
+    run = re.compile(secrets.RUN)
+    brute = lambda rows: sorted((d, i, k, v) for d, t in rows for i, w in enumerate(re.split(r"[ \t\n\x0b\f\r]+", t or "")) for k, v in enumerate(x for x in run.findall(w) if re.search("[0-9]|[a-z][A-Z]", x)))
+    for table, rows in ((docs, texts), (documents, [(r["doc_id"], r["text"]) for r in documents.collect()])):
+        assert sorted((r["doc_id"], r["place"], r["run"], r["value"]) for r in secrets.candidates(table).collect()) == brute(rows)
+    around = {(r["doc_id"], r["run"]): (r["before2"], r["before"], r["word"], r["after"]) for r in secrets.candidates(docs).collect()}
+    assert around[30, 0] == ("", "", texts[0][1], "")
+    assert around[32, 0] == ("", "say", f'{{"api_key":"{key}","', other) and around[32, 1] == ("say", key, f'","commit":"{other}","', other)
+    assert around[32, 2] == ("say", other, f'","stripe_api_secret_key":"{other}"}}', "end")
+    got = {(r["doc_id"], r["run"]): r["is_secret"] for r in secrets.scan(docs, secrets.train(secrets.example_findings(spark))).collect()}
+    assert got[30, 0] and got[31, 0] and got[32, 0] and got[32, 2]
+
+
 def brute_lines(texts, min_lines=line_dedup.MIN_LINES, min_words=line_dedup.MIN_WORDS):
     lines = [(d, [x.strip(" ") for x in (t or "").split("\n") if x.strip(" ")]) for d, t in sorted(set(texts), key=lambda x: (x[0], x[1] or ""))]
     gone = {}
