@@ -103,12 +103,13 @@ def reattach_results(spark, d):
 
 # -- topic texts, made from line items ---------------------------------------------
 
-_LINES = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s_name, p_name, CASE WHEN l_suppkey % 3 = 0 THEN 'Private Organisation' WHEN l_suppkey % 3 = 1 THEN 'Government Organisation' ELSE 'Person' END AS kind
-FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 20 = 0"""
+_ALL_LINES = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s_name, p_name, CASE WHEN l_suppkey % 3 = 0 THEN 'Private Organisation' WHEN l_suppkey % 3 = 1 THEN 'Government Organisation' ELSE 'Person' END AS kind
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey"""
+_LINES = f"{_ALL_LINES} WHERE l_orderkey % 20 = 0"
 
 
-def _topic_texts(spark, d):
-    rows = run_sql(spark, d, _LINES)
+def _topic_texts(spark, d, lines=_LINES):
+    rows = run_sql(spark, d, lines)
     entity = F.when(F.col("l_linenumber") % 5 != 0, F.concat_ws("|", "s_name", "kind"))
     relation = F.concat_ws("|", "s_name", F.lit("SUPPLIES"), "p_name")
     parts = rows.groupBy(F.col("l_orderkey").alias("doc_id")).agg(*[F.array_join(F.sort_array(F.collect_set(x)), "\n").alias(n) for n, x in (("e", entity), ("p", F.concat_ws("|", "p_name", F.lit("Product"))), ("r", relation))])
@@ -137,6 +138,24 @@ def dangling_refs(spark, d):
     return T.dangling(T.parse_topics(_topic_texts(spark, d))).select("doc_id", "name")
 
 
+# the same over the orders that the SQL above leaves out as well
+
+
+@query()
+def parse_topics_whole(spark, d):
+    return T.parse_topics(_topic_texts(spark, d, _ALL_LINES))
+
+
+@query()
+def validate_entities_whole(spark, d):
+    return T.remap_classes(T.parse_topics(_topic_texts(spark, d, _ALL_LINES))).select("doc_id", "a", "b")
+
+
+@query()
+def dangling_refs_whole(spark, d):
+    return T.dangling(T.parse_topics(_topic_texts(spark, d, _ALL_LINES))).select("doc_id", "name")
+
+
 @query()
 def pack_jobs(spark, d):
     """Requests of one job file packed by count and bytes."""
