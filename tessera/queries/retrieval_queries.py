@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import graph as G
@@ -102,6 +104,24 @@ def programme_network(spark, d):
     return G.network(chunks, chunks.where(F.col("id") % 100 == 7).select("id").distinct(), 150)
 
 
+# -- the same over all statements, with the anchors and the report's limit as the only bounds
+
+
+def _network(spark, d, column, anchors):
+    chunks = view(spark, d, "statements").select(F.col("source_id").alias("chunk"), F.col(column).alias("id"), F.col("quantity").alias("value"))
+    return G.network(chunks, chunks.where(anchors).select("id").distinct(), 150)
+
+
+@query()
+def supplier_network_whole(spark, d):
+    return _network(spark, d, "s_id", F.col("id").isin(3, 5, 8))
+
+
+@query()
+def programme_network_whole(spark, d):
+    return _network(spark, d, "o_id", F.col("id") % 100 == 7)
+
+
 # -- modes ----------------------------------------------------------------------
 
 _KINDS = "CASE doc_id % 4 WHEN 0 THEN 'business_case' WHEN 1 THEN 'sr_bids_2025' WHEN 2 THEN 'contract_finder' ELSE 'letter' END"
@@ -160,6 +180,19 @@ def kb_search_all(spark, d):
     return R.search_all(vectors, asked, 10).select("query_id", "label", "vec_id", "score", "rank")
 
 
+ASKED = 1000  # queries of a block
+
+
+@query()
+def kb_search_whole(spark, d):
+    """Every vector whose id is divisible by 20 asked of all vectors, in blocks of about ``ASKED`` queries."""
+    vectors = load(spark, d, "embeddings")
+    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    blocks = max(1, -(-asked.count() // ASKED))
+    found = [R.search_all(vectors, asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i), 10) for i in range(blocks)]
+    return reduce(lambda a, b: a.unionAll(b), found).select("query_id", "label", "vec_id", "score", "rank")
+
+
 @query(f"""WITH seeds AS (SELECT v.vec_id % 100 AS id FROM embeddings v, (SELECT embedding FROM embeddings WHERE vec_id = 0) q ORDER BY {_COSINE} DESC, v.vec_id LIMIT 5),
 facts AS (SELECT statement_id AS fact FROM statements WHERE s_id IN (SELECT id FROM seeds) ORDER BY fact LIMIT 72)
 SELECT id FROM (SELECT fact AS id FROM facts UNION SELECT prev FROM statements WHERE statement_id IN (SELECT fact FROM facts) AND prev IS NOT NULL UNION SELECT statement_id FROM statements WHERE prev IN (SELECT fact FROM facts)) ORDER BY id LIMIT 24""")

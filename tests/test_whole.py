@@ -1,6 +1,11 @@
 """Queries over whole tables against brute force."""
 
-from tessera.queries import all_queries
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tessera.queries import all_queries, retrieval_queries
 
 QUERIES, SQL = all_queries()
 
@@ -25,3 +30,28 @@ def test_topics_of_all_orders(spark, sf, duck):
     assert rows_of(spark, sf, "parse_topics_whole") == sorted(parsed, key=repr)
     assert rows_of(spark, sf, "validate_entities_whole") == sorted(entities, key=repr)
     assert rows_of(spark, sf, "dangling_refs_whole") == sorted(ends - {x[:2] for x in entities}, key=repr)
+
+
+@pytest.mark.parametrize("name,column,is_anchor", [("supplier_network_whole", "s_id", lambda i: i in (3, 5, 8)), ("programme_network_whole", "o_id", lambda i: i % 100 == 7)])
+def test_networks_of_all_statements(name, column, is_anchor, spark, sf, duck):
+    key = {"s_id": "l_suppkey", "o_id": "1000000000 + l_partkey"}[column]
+    chunks = defaultdict(list)
+    for chunk, i, value in duck.execute(f"SELECT l_orderkey, {key}, l_quantity FROM lineitem").fetchall():
+        chunks[chunk].append((i, value))
+    pairs = {(a, b) for rows in chunks.values() for a, _ in rows if is_anchor(a) for b, value in rows if b != a and value is not None}
+    assert rows_of(spark, sf, name) == sorted(sorted(pairs)[:150], key=repr)
+
+
+def test_search_of_all_queries(spark, sf, duck, monkeypatch):
+    monkeypatch.setattr(retrieval_queries, "ASKED", 4)  # block after block
+    rows = duck.execute("SELECT vec_id, label, embedding FROM embeddings").fetchall()
+    unit = {i: np.array(e, float) / np.linalg.norm(np.array(e, float)) for i, _, e in rows}
+    got = defaultdict(list)
+    for r in QUERIES["kb_search_whole"](spark, sf).collect():
+        got[r["query_id"], r["label"]].append((r["rank"], r["vec_id"], r["score"]))
+    asked = [i for i, _, _ in rows if i % 20 == 0]
+    assert len(asked) > 4 and got.keys() == {(q, label) for q in asked for _, label, _ in rows}
+    for (q, label), found in got.items():
+        best = sorted((-round(float(unit[q] @ unit[i]), 6), i) for i, x, _ in rows if x == label)[:10]
+        assert [x[0] for x in sorted(found)] == list(range(1, len(best) + 1))
+        assert [x[2] for x in sorted(found)] == pytest.approx([-s for s, _ in best], abs=2e-6)
