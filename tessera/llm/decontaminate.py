@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -225,17 +226,20 @@ def _collector(shared, carry: bool):
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, remove: str = "documents", window: int = WINDOW, max_block_bytes: int = MAX_BLOCK_BYTES) -> DataFrame:
     """``docs`` without contaminated documents (``remove="documents"``) or without the hit spans (``"spans"``).
 
-    All columns of ``docs`` come back in their order and types. Blocks of a large benchmark are applied in turn.
+    All columns of ``docs`` come back in their order and types. Blocks of a large benchmark are applied in turn; spans
+    are marked in the whole text by every block, and cut once at the end.
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove must be 'documents' or 'spans'")
-    out = docs
+    spans, hit = remove == "spans", f"hit_{uuid.uuid4().hex}"
+    out = docs.select("*", F.lit(None).cast("binary").alias(hit)) if spans else docs
     for block in benchmark_blocks(benchmark, max_block_bytes):
-        out = out.mapInArrow(_remover(docs.sparkSession.sparkContext.broadcast(WindowSet(block, window)), remove), docs.schema)
-    return out
+        shared = docs.sparkSession.sparkContext.broadcast(WindowSet(block, window))
+        out = out.mapInArrow(_marker(shared) if spans else _remover(shared), out.schema)
+    return out.mapInArrow(_cutter, docs.schema) if spans else out
 
 
-def _remover(shared, remove: str):
+def _remover(shared):
     def scan(batches):
         windows = shared.value
         for whole in batches:
@@ -243,18 +247,36 @@ def _remover(shared, remove: str):
                 batch = whole.slice(at, _SLICE)
                 texts = _texts(batch, "text")
                 masks = [mask for _, _, _, mask in windows.scan(texts)]
-                if remove == "documents":
-                    yield batch.filter(pa.array([mask is None for mask in masks], pa.bool_()))
-                elif any(mask is not None for mask in masks):
-                    k = batch.schema.get_field_index("text")
-                    new = pa.array([t if m is None else without_spans(t, m) for t, m in zip(texts, masks)], pa.binary()).cast(batch.schema.field(k).type)
-                    yield pa.RecordBatch.from_arrays([new if i == k else c for i, c in enumerate(batch.columns)], schema=batch.schema)
-                else:
-                    yield batch
+                yield batch.filter(pa.array([mask is None for mask in masks], pa.bool_()))
 
     return scan
 
 
+def _marker(shared):
+    """Adds the hits of a block of the benchmark to those in the last column."""
+
+    def scan(batches):
+        windows = shared.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, _SLICE):
+                batch = whole.slice(at, _SLICE)
+                packed = [None if mask is None else np.packbits(mask) for _, _, _, mask in windows.scan(_texts(batch, "text"))]
+                old = [None if x is None else np.frombuffer(x, np.uint8) for x in batch.columns[-1].to_pylist()]
+                hits = [y if x is None else x if y is None else x | y for x, y in zip(packed, old)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([None if x is None else x.tobytes() for x in hits], batch.schema.types[-1])], schema=batch.schema)
+
+    return scan
+
+
+def _cutter(batches):
+    """Cuts the spans that the last column marks, and drops it."""
+    for batch in batches:
+        k = batch.schema.get_field_index("text")
+        texts = zip(_texts(batch, "text"), batch.columns[-1].to_pylist())
+        new = pa.array([t if x is None else without_spans(t, np.unpackbits(np.frombuffer(x, np.uint8)).astype(bool)) for t, x in texts], pa.binary()).cast(batch.schema.types[k])
+        yield pa.RecordBatch.from_arrays([new if i == k else c for i, c in enumerate(batch.columns[:-1])], names=batch.schema.names[:-1])
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("item_ids")
 

@@ -81,6 +81,17 @@ def test_decontamination(spark, sf):
     assert decontaminate.report(docs.limit(0), bench).count() == 0 and decontaminate.report(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_spans_of_all_blocks(spark):
+    ship(spark)
+    items = [(1, "a1 a2 a3 a4 a5 a6 a7 a8 a9 a10"), (2, "a6 a7 a8 a9 a10 b1 b2 b3 b4 b5"), (3, "left right")]
+    docs = docs_of(spark, [(1, "Left a1 a2 a3 a4 a5 a6 a7 a8 a9 a10 b1 b2 b3 b4 b5 right."), (2, "x Left Right y"), (3, None), (4, "é free"), (5, "left a1 a2 a3 a4 a5 a6 a7 a8 a9 a10 right")]).withColumn("hit", F.lit("mine"))
+    bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    for block in (1 << 20, 20):
+        out = decontaminate.decontaminate(docs, bench, remove="spans", max_block_bytes=block)
+        assert out.columns == docs.columns and {r["hit"] for r in out.collect()} == {"mine"}
+        assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "Left  right.", 2: "x  y", 3: None, 4: "é free", 5: "left  right"}
+
+
 # -- token output ------------------------------------------------------------------
 
 
