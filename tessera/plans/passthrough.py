@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from .dialect import Dialect
+from .dialect import Dialect, whole
 
 PASSTHROUGH: dict[str, Callable[[Dialect], str]] = {}
 
@@ -230,3 +230,8 @@ def correlated(x):
 def tumbling(x):
     bucket = "CAST(date_trunc('HOUR', ts) AS TIMESTAMP_NTZ)" if x.spark else "date_trunc('hour', ts)"
     return f"SELECT {bucket} AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2"
+
+
+# the same over all rows
+for _make, _subset in ((window_rank, " WHERE o_custkey < 300"), (window_frame, " WHERE user_id < 50"), (window_lag_lead, " WHERE user_id < 50"), (window_first_last, " WHERE user_id < 50"), (asof, " AND p.user_id < 40")):
+    PASSTHROUGH[f"passthru_{_make.__name__}_whole"] = whole(_make, _subset)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from .dialect import Dialect
+from .dialect import Dialect, whole
 
 WORKLOAD: dict[str, Callable[[Dialect], str]] = {}
 
@@ -288,3 +288,8 @@ SELECT org, count(DISTINCT src) AS sources, {x.total('v')} AS total FROM e GROUP
 def merge_results(x):
     return f"""WITH m AS (SELECT seller_name AS entity, 'top' AS src FROM contracts WHERE direct_award = 'Yes' UNION ALL SELECT proposedsupplier, 'pipeline' FROM cases WHERE proposedsupplier <> '' UNION ALL SELECT seller_name, 'extension' FROM contracts WHERE extension = 'Yes')
 SELECT entity, {x.collect('src')} AS sources, count(*) AS mentions FROM m GROUP BY entity"""
+
+
+# the same over all rows
+WORKLOAD["freshness_whole"] = whole(freshness, " WHERE contract_id % 10 = 0")
+WORKLOAD["triangulation_whole"] = whole(triangulation, " WHERE project_id % 3 = 0")

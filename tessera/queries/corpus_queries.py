@@ -436,9 +436,18 @@ def visible_metadata(spark, d):
 @query("""SELECT DISTINCT p.department, p.name AS left_name, s.name AS right_name FROM (SELECT p_partkey % 25 AS department, p_name AS name FROM part) p JOIN (SELECT p_partkey % 25 AS department, split_part(p_name, ' ', 1) AS name FROM part WHERE p_size > 40) s
 ON p.department = s.department AND (contains(lower(p.name), lower(s.name)) OR contains(lower(s.name), lower(p.name)))""")
 def name_crosslink(spark, d):
+    return _name_crosslink(spark, d, "p_size > 40")
+
+
+@query()
+def name_crosslink_whole(spark, d):
+    return _name_crosslink(spark, d, "true")
+
+
+def _name_crosslink(spark, d, linked):
     part = load(spark, d, "part")
     left = part.select((F.col("p_partkey") % 25).alias("department"), F.col("p_name").alias("left_name")).distinct()
-    right = part.where("p_size > 40").select((F.col("p_partkey") % 25).alias("department"), F.split("p_name", " ")[0].alias("right_name")).distinct()
+    right = part.where(linked).select((F.col("p_partkey") % 25).alias("department"), F.split("p_name", " ")[0].alias("right_name")).distinct()
     return C.name_crosslink(left, right)
 
 

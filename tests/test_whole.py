@@ -55,3 +55,25 @@ def test_search_of_all_queries(spark, sf, duck, monkeypatch):
         best = sorted((-round(float(unit[q] @ unit[i]), 6), i) for i, x, _ in rows if x == label)[:10]
         assert [x[0] for x in sorted(found)] == list(range(1, len(best) + 1))
         assert [x[2] for x in sorted(found)] == pytest.approx([-s for s, _ in best], abs=2e-6)
+
+
+@pytest.mark.parametrize("name,rows", [("freshness", "lineitem"), ("passthru_window_rank", "orders"), ("passthru_window_frame", "events"), ("passthru_window_lag_lead", "events"), ("passthru_window_first_last", "events")])
+def test_a_row_for_each(name, rows, spark, sf, duck):
+    assert QUERIES[f"{name}_whole"](spark, sf).count() == duck.execute(f"SELECT count(*) FROM {rows}").fetchone()[0]
+
+
+def test_asof_of_all_users(spark, sf, duck):
+    seen = {p for p, in duck.execute("SELECT DISTINCT p.event_id FROM events p JOIN events v ON p.user_id = v.user_id AND v.ts <= p.ts AND v.event_type = 'view' WHERE p.event_type = 'purchase'").fetchall()}
+    assert {r["event_id"] for r in QUERIES["passthru_asof_whole"](spark, sf).collect()} == seen
+
+
+def test_triangulation_of_all_projects():
+    assert "project_id % 3" in SQL["triangulation"]
+    text = SQL["triangulation_whole"]
+    assert "project_id % 3" not in text and text == SQL["triangulation"].replace(" WHERE project_id % 3 = 0", "")
+
+
+def test_crosslinks_of_all_parts(spark, sf, duck):
+    parts = [(k % 25, name, name.split(" ")[0]) for k, name in duck.execute("SELECT p_partkey, p_name FROM part").fetchall()]
+    links = {(d, name, first) for d, name, _ in parts for e, _, first in parts if d == e and (first.lower() in name.lower() or name.lower() in first.lower())}
+    assert rows_of(spark, sf, "name_crosslink_whole") == sorted(links, key=repr)
