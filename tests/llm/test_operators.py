@@ -10,6 +10,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,31 +240,25 @@ def test_url_rules_are_whole(spark):
 # -- near duplicates ------------------------------------------------------------------------------
 
 
+def brute_distance(x, y):
+    row = list(range(len(y) + 1))
+    for i, p in enumerate(x, 1):
+        last, row[0] = row[0], i
+        for j, q in enumerate(y, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (p != q))
+    return row[-1]
+
+
 def brute_similar(a, b):
-    x, y = ([tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if w else [] for w in (near_dup.words_of(a), near_dup.words_of(b)))
-    if not x or not y:
+    """Edit similarity of word sequences; 0 for texts that share no five-word shingle, which are no candidates."""
+    x, y = near_dup.words_of(a), near_dup.words_of(b)
+    if not x or not y or not set(near_dup.shingle_hashes(near_dup.word_codes(a)).tolist()) & set(near_dup.shingle_hashes(near_dup.word_codes(b)).tolist()):
         return 0.0
-    row = [0] * (len(y) + 1)
-    for p in x:
-        last = 0
-        for j, q in enumerate(y, 1):
-            last, row[j] = row[j], last + 1 if p == q else max(row[j], row[j - 1])
-    return row[-1] / (len(x) + len(y) - row[-1])
+    return 1 - brute_distance(x, y) / max(len(x), len(y))
 
 
-def test_near_duplicates(spark):
-    rng = np.random.default_rng(11)
-    vocabulary = [f"w{i}" for i in range(3000)]
-    texts, n = [], 0
-    for length in (6, 30, 120, 300):
-        for _ in range(3):
-            base = list(rng.choice(vocabulary, length))
-            family = [base] + [[str(rng.choice(vocabulary)) if rng.random() < rate else w for w in base] for rate in (0.004, 0.01, 0.02, 0.05, 0.2)] + [base[1:], base[length // 2 :] + base[: length // 2], base]
-            texts += [(n + i, " ".join(f)) for i, f in enumerate(family)]
-            n += len(family)
-    texts += [(n, None), (n + 1, None), (n + 2, ""), (n + 3, ""), (n + 4, "..."), (n + 5, "Solo"), (0, "another text with id nought that stands alone"), (n + 6, "solo!")]
-    got = near_dup.classes(docs_of(spark, texts).withColumn("class_id", F.lit("clash"))).collect()
-    assert len(got) == len(texts)
+def brute_classes(texts):
+    """The first row of each row's class; rows that are equal in id and text count once."""
     parent = list(range(len(texts)))
 
     def find(i):
@@ -274,29 +269,114 @@ def test_near_duplicates(spark):
     for i, (_, a) in enumerate(texts):
         for j in range(i):
             b = texts[j][1]
-            if a is not None and b is not None and (a == b or brute_similar(a, b) >= 0.8):
+            if a is not None and b is not None and find(i) != find(j) and (a == b or brute_similar(a, b) >= 0.8):
                 parent[max(find(i), find(j))] = min(find(i), find(j))
-    key = {(d, t): find(i) for i, (d, t) in reversed(list(enumerate(texts)))}
+    return {(d, t): find(i) for i, (d, t) in reversed(list(enumerate(texts)))}
+
+
+def same_classes(spark, texts, got):
+    key = brute_classes(texts)
     by_hash = {(r["doc_id"], r["h1"]): (r["class_id"], r["class_h"]) for r in got}
     hashes = {(r["doc_id"], r["text"]): r["h"] for r in docs_of(spark, texts).select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
     mine = {k: by_hash[(k[0], hashes[k])] for k in key}
     assert len(set(mine.values())) == len(set(key.values())) and len({(mine[k], key[k]) for k in key}) == len(set(key.values()))
-    kept = near_dup.keep_one(docs_of(spark, texts))
-    assert kept.count() == len(set(key.values())) and len(kept.columns) == 5
+    return len(set(key.values()))
 
 
-def test_band_is_exact_at_the_threshold():
+def changed(rng, base, rate, vocabulary):
+    return [str(rng.choice(vocabulary)) if rng.random() < rate else w for w in base]
+
+
+def test_near_duplicates(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts, n = [], 0
+    for length in (6, 30, 120, 300):
+        for _ in range(3):
+            base = list(rng.choice(vocabulary, length))
+            family = [base] + [changed(rng, base, rate, vocabulary) for rate in (0.004, 0.01, 0.02, 0.05, 0.08, 0.4)] + [base[1:], base[length // 2 :] + base[: length // 2], base]
+            texts += [(n + i, " ".join(f)) for i, f in enumerate(family)]
+            n += len(family)
+    texts += [(n, None), (n + 1, None), (n + 2, ""), (n + 3, ""), (n + 4, "..."), (n + 5, "Solo"), (0, "another text with id nought that stands alone"), (n + 6, "solo!"), (None, "a text without any id"), (None, "a text without any id"), (n + 7, None)]
+    got = near_dup.classes(docs_of(spark, texts).withColumn("class_id", F.lit("clash"))).collect()
+    assert len(got) == len(texts)
+    n_classes = same_classes(spark, texts, got)
+    kept = near_dup.keep_one(docs_of(spark, texts))
+    assert kept.count() == n_classes and len(kept.columns) == 5
+    by_id = {r["doc_id"]: r for r in got}
+    words = {i: near_dup.words_of(t) for i, t in texts if t}
+    for r in got:  # what is named as a link is one
+        if 0 in (r["doc_id"], r["linked_id"]):  # two texts have this id
+            continue
+        if r["n_links"]:
+            a, b = words[r["doc_id"]], words[r["linked_id"]]
+            assert r["similarity"] == pytest.approx(1 - brute_distance(a, b) / max(len(a), len(b))) and r["similarity"] >= 0.8 and by_id[r["linked_id"]]["class_id"] == r["class_id"]
+        else:
+            assert (r["linked_id"], r["similarity"]) in ((None, None), (r["class_id"], 1.0))
+
+
+def test_near_duplicates_with_a_common_passage(spark, monkeypatch):
+    """A passage that most texts share puts them in large buckets; families in these are found by later tiers or in blocks."""
+    monkeypatch.setattr(near_dup, "LIMIT", 8)
+    rng = np.random.default_rng(12)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    passage = list(rng.choice(vocabulary, 70))
+    texts = []
+    for _ in range(40):
+        base = list(rng.choice(vocabulary, 80))
+        texts += [" ".join(changed(rng, base, rate, vocabulary) + passage) for rate in ((0, 0.03, 0.05) if rng.random() < 0.3 else (0,))]
+    texts = list(enumerate(texts))
+    for tiers in (1, near_dup.TIERS):
+        got = near_dup.classes(docs_of(spark, texts), tiers=tiers).collect()
+        assert same_classes(spark, texts, got) == 40
+
+
+def test_recall_on_the_given_documents(spark):
+    """At least 0.98 of the pairs at an edit similarity of 0.8 or more end in one class, and no class joins others."""
+    ship(spark)
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: r for r in near_dup.classes(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    codes = [(r["doc_id"], near_dup.word_codes(r["text"] or "")) for r in rows]
+    holders = {}
+    for k, (_, c) in enumerate(codes):
+        for x in set(near_dup.shingle_hashes(c, 3).tolist()):
+            holders.setdefault(x, []).append(k)
+    pairs = Counter()
+    for h in holders.values():
+        if len(h) <= 60:
+            pairs.update(combinations(h, 2))
+    similar = [(a, b) for (a, b), k in pairs.items() if k >= 2 and near_dup.similarity(codes[a][1].tolist(), codes[b][1].tolist()) is not None]
+    found = [got[codes[a][0]]["class_id"] == got[codes[b][0]]["class_id"] for a, b in similar]
+    assert len(similar) > 50 and np.mean(found) >= 0.98
+    linked = {codes[k][0] for pair in similar for k in pair}
+    assert all(d in linked for d, r in got.items() if r["n_links"])
+
+
+def test_banded_alignment():
     rng = np.random.default_rng(2)
-    for _ in range(300):
-        a = [int(x) for x in rng.integers(0, 30, rng.integers(1, 40))]
+    for _ in range(400):
+        a = [int(x) for x in rng.integers(0, 30, rng.integers(0, 40))]
         b = [x for x in a if rng.random() > 0.1] + [int(x) for x in rng.integers(0, 30, rng.integers(0, 4))]
-        row = [0] * (len(b) + 1)
-        for p in a:
-            last = 0
-            for j, q in enumerate(b, 1):
-                last, row[j] = row[j], last + 1 if p == q else max(row[j], row[j - 1])
-        assert near_dup.alike(a, b) == bool(b and row[-1] / (len(a) + len(b) - row[-1]) >= 0.8)
-        assert near_dup.common_in_band(a, b, len(a) + len(b)) == row[-1]
+        if rng.random() < 0.2:
+            b = b[::-1]
+        whole = brute_distance(a, b)
+        for most in {0, whole - 1, whole, 40} - {-1}:
+            assert near_dup.edit_distance(a, b, most) == (whole if whole <= most else None)
+        longer = max(len(a), len(b))
+        assert (near_dup.similarity(a, b) is not None) == bool(a and b and 1 - whole / longer >= 0.8 - 1e-9)
+    # a long band is met without looking at the whole of a long text at each step
+    long = [int(x) for x in rng.integers(0, 5000, 60_000)]
+    assert near_dup.edit_distance(long, [x if rng.random() > 0.002 else -1 for x in long], 12_000) <= 200
+
+
+def test_bags_never_rule_out_what_aligns():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        a = [b"w%d" % x for x in rng.integers(0, 60, rng.integers(5, 900))]
+        b = [w if rng.random() > rng.choice([0.01, 0.1, 0.18]) else b"w%d" % rng.integers(0, 900) for w in a]
+        x, y = (near_dup.word_codes(b" ".join(w).decode()) for w in (a, b))
+        near = near_dup._may_align(np.array([len(x)]), near_dup._bags(pa.array([near_dup.bag_of(x)])), np.array([len(y)]), near_dup._bags(pa.array([near_dup.bag_of(y)])), 0.8)
+        assert near[0] or near_dup.similarity(x.tolist(), y.tolist()) is None
 
 
 def test_components(spark):
