@@ -291,8 +291,8 @@ def test_near_duplicates(spark):
     rng = np.random.default_rng(11)
     vocabulary = [f"w{i}" for i in range(3000)]
     texts, n = [], 0
-    for length in (6, 30, 120, 300):
-        for _ in range(3):
+    for length in (6, 30, 120):
+        for _ in range(2):
             base = list(rng.choice(vocabulary, length))
             family = [base] + [changed(rng, base, rate, vocabulary) for rate in (0.004, 0.01, 0.02, 0.05, 0.08, 0.4)] + [base[1:], base[length // 2 :] + base[: length // 2], base]
             texts += [(n + i, " ".join(f)) for i, f in enumerate(family)]
@@ -322,13 +322,13 @@ def test_near_duplicates_with_a_common_passage(spark, monkeypatch):
     vocabulary = [f"w{i}" for i in range(4000)]
     passage = list(rng.choice(vocabulary, 70))
     texts = []
-    for _ in range(40):
+    for _ in range(24):
         base = list(rng.choice(vocabulary, 80))
         texts += [" ".join(changed(rng, base, rate, vocabulary) + passage) for rate in ((0, 0.03, 0.05) if rng.random() < 0.3 else (0,))]
     texts = list(enumerate(texts))
     for tiers in (1, near_dup.TIERS):
         got = near_dup.classes(docs_of(spark, texts), tiers=tiers).collect()
-        assert same_classes(spark, texts, got) == 40
+        assert same_classes(spark, texts, got) == 24
 
 
 def test_recall_on_the_given_documents(spark):
@@ -375,8 +375,8 @@ def test_bags_never_rule_out_what_aligns():
         a = [b"w%d" % x for x in rng.integers(0, 60, rng.integers(5, 900))]
         b = [w if rng.random() > rng.choice([0.01, 0.1, 0.18]) else b"w%d" % rng.integers(0, 900) for w in a]
         x, y = (near_dup.word_codes(b" ".join(w).decode()) for w in (a, b))
-        near = near_dup._may_align(np.array([len(x)]), near_dup._bags(pa.array([near_dup.bag_of(x)])), np.array([len(y)]), near_dup._bags(pa.array([near_dup.bag_of(y)])), 0.8)
-        assert near[0] or near_dup.similarity(x.tolist(), y.tolist()) is None
+        room = near_dup._room(np.array([len(x)]), near_dup._bags(pa.array([near_dup.bag_of(x)])), np.array([len(y)]), near_dup._bags(pa.array([near_dup.bag_of(y)])), 0.8)
+        assert room[0] >= 0 or near_dup.similarity(x.tolist(), y.tolist()) is None
 
 
 def test_components(spark):
