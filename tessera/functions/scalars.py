@@ -132,7 +132,7 @@ def file_names(cell: Column) -> Column:
 
     def step(state, piece):
         joined = F.when(state["open"].isNull(), piece).otherwise(F.concat(state["open"], F.lit(","), piece))
-        ends = F.rtrim(piece).rlike(r"\.[A-Za-z0-9]{1,5}$")
+        ends = stripped(piece).rlike(r"\.[A-Za-z0-9]{1,5}$")
         return F.struct(F.when(ends, F.concat(state["done"], F.array(joined))).otherwise(state["done"]).alias("done"), F.when(~ends, joined).alias("open"))
 
     merged = F.aggregate(pieces, start, step, lambda s: F.when(s["open"].isNull(), s["done"]).otherwise(F.concat(s["done"], F.array(s["open"]))))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..store import numbered, stored
 
 
 # -- listing and latest files ------------------------------------------------
@@ -69,18 +70,8 @@ def last_wins(rows: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def batches(rows: DataFrame, size: int, order: list[str]) -> DataFrame:
-    """Rows with their batch of ``size``, from 1, in order.
-
-    Positions come in two levels, so that no task numbers all rows: rows are dealt by a range of the first key,
-    counted by partition, and numbered within.
-    """
-    # a stated number of partitions: adaptive execution may merge others, differently in the two readings
-    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id())
-    counts = dealt.groupBy("__p").agg(F.count("*").alias("n"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__p", "before")
-    place = F.col("before") + (F.col("__m") - F.shiftleft(F.col("__p").cast("long"), 33))
-    return dealt.join(before, "__p").withColumn("batch", (F.floor(place / size) + 1).cast("long")).drop("__p", "__m", "before")
+    """Rows with their batch of ``size``, from 1, in order."""
+    return numbered(rows, order, "__place").withColumn("batch", (F.floor(F.col("__place") / size) + 1).cast("long")).drop("__place")
 
 
 def is_latest(rows: DataFrame, group: str, date: str, tie: str) -> DataFrame:

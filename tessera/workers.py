@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -15,7 +16,8 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_tessera_shipped", False):
         return
     package = os.path.dirname(os.path.abspath(__file__))
-    folder = tempfile.mkdtemp(prefix="tessera-")
+    folder = tempfile.mkdtemp(prefix="tessera-")  # the driver serves the archive from here
+    atexit.register(shutil.rmtree, folder, True)
     shutil.copytree(package, f"{folder}/all/tessera", ignore=shutil.ignore_patterns("__pycache__"))
     context.addPyFile(shutil.make_archive(f"{folder}/tessera", "zip", f"{folder}/all"))
     context._tessera_shipped = True
