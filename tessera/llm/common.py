@@ -1,15 +1,15 @@
-"""Shared pieces of the training-data operators: tables, the shared folder, cut lineage."""
+"""Shared pieces of the training-data operators: tables, the shared folder, folds."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..store import drop_path, numbered, scratch, shared_root, stored
 from ..workers import ship
 
+__all__ = ["crc32_of_id", "drop_path", "numbered", "scratch", "shared_root", "ship", "shuffle_width", "stored", "table"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables, read by Spark alone so that any store works."""
@@ -17,40 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    Only where the session has no such setting (tests on one machine) a temporary folder is made.
-    """
-    context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="tessera-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_root(spark)}/tessera/{uuid.uuid4().hex}/{name}"
-
-
-def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write ``df`` to the shared folder and read it again: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a scratch path that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

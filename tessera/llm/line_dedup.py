@@ -22,13 +22,13 @@ combine before they shuffle. Windows run over the repeated lines of one document
 shared folder.
 
 Edge cases: a null text has no lines and stays null; blank lines always stay and don't separate a run. Rows equal in id and text
-are one document. Overlapping copies within a document keep the first. An empty table gives an empty result.
+are one document. A row with a null id takes part like others and comes before them all (its id counts as the smallest long). Overlapping copies within a document keep the first. An empty table gives an empty result.
 Columns other than doc_id and text pass through ``dedup_lines`` untouched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import drop_path, stored, table
@@ -45,8 +45,13 @@ def _unique(docs: DataFrame) -> DataFrame:
     return docs.dropDuplicates(["doc_id", "text"]) if repeated else docs
 
 
-def _key() -> list:
-    return [F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("h")]
+def _id() -> Column:
+    """The id; a null one is the smallest there is, so that its row takes part in the joins."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
+
+
+def _key() -> list[Column]:
+    return [_id().alias("d"), F.xxhash64("text").alias("h")]
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -170,8 +175,8 @@ def dedup_lines(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int =
     docs = _unique(docs)
     found, _ = stored(deleted_places(docs, min_lines=min_lines, min_words=min_words), "places")
     found = found.toDF("__pd", "__ph", "__places")
-    keyed = docs.withColumn("__d", F.col("doc_id").cast("long")).withColumn("__h", F.xxhash64("text"))
-    joined = keyed.join(found, F.col("__d").eqNullSafe(F.col("__pd")) & (F.col("__h") == F.col("__ph")), "left")
+    keyed = docs.withColumn("__d", _id()).withColumn("__h", F.xxhash64("text"))
+    joined = keyed.join(found, (F.col("__d") == F.col("__pd")) & (F.col("__h") == F.col("__ph")), "left")
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__places"))
     # the lines are bound once, as the one element of an array; inside the inner function they are a value

@@ -2,7 +2,7 @@
 
 Every source has a weight. Together the sources share ``share`` times the words of all documents by weight; no
 source gets more than ``max_repeats`` times its own words, and what one can't take is shared again by weight until
-none is above (water filling, solved at once from the sources in order of ``capacity / weight``).
+none is above (water filling: a level that only rises, each step one sum over the sources).
 
 Within a source the documents are shuffled by a seeded hash. A document's virtual finish time is the words of its
 source up to and with it, divided by the source's target; its second copy finishes one whole source later, and so
@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop_path, stored, table
+from .common import drop_path, numbered, stored, table
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -46,42 +46,34 @@ def size_of(text: Column) -> Column:
 
 
 def targets(sizes: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """Per source: source, source_size, target. ``sizes`` has a row a source, so windows over all of it are small."""
-    everything = Window.partitionBy(F.lit(0))
-    rank = F.row_number().over(everything.orderBy(F.col("source").asc_nulls_last()))
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(rank - 1, F.lit(len(weights))) + 1)
-    ranked = sizes.withColumn("weight", weight).withColumn("capacity", F.lit(float(max_repeats)) * F.col("source_size"))
-    by_need = everything.orderBy((F.col("capacity") / F.col("weight")).asc(), F.col("source").asc_nulls_last())
-    # sources fill up in order of capacity a weight; the level is what the others get a weight once those before are full.
-    # From the first source that isn't filled by it on, it only falls: the largest is the one that holds
-    filled = (
-        ranked.withColumn("before", F.coalesce(F.sum("capacity").over(by_need.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-        .withColumn("weight_left", F.sum("weight").over(by_need.rowsBetween(0, Window.unboundedFollowing)))
-        .withColumn("budget", F.lit(share) * F.sum("source_size").over(everything))
-        .withColumn("level", (F.col("budget") - F.col("before")) / F.col("weight_left"))
-        .withColumn("open_level", F.when(F.col("level") * F.col("weight") <= F.col("capacity"), F.col("level")))
-    )
-    level = F.max("open_level").over(everything)
-    return filled.withColumn("level", level).select("source", "source_size", F.when(F.col("level").isNull(), F.col("capacity")).otherwise(F.least(F.col("capacity"), F.col("level") * F.col("weight"))).alias("target"))
-
-
-def schedule(docs: DataFrame, extra: list[str] | None = None, *, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Two frames: rows with size, source_size, target and ``finish`` (of the first copy), and the cut.
-
-    ``extra`` names columns of ``docs`` to carry along. The cut has one row: the finish time and tie-break of the first
-    copy that isn't taken, nulls if all are.
+    """Per source: source, source_size, target. ``sizes`` has a row a source; no task needs to see all of them."""
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod("rank", F.lit(len(weights))) + 1).cast("int"))
+    ranked = numbered(sizes.select("source", "source_size"), [F.col("source").asc_nulls_last()], "rank")
+    ranked, _ = stored(ranked.select("source", "source_size", weight.alias("weight"), (F.lit(float(max_repeats)) * F.col("source_size")).alias("capacity")), "ranked")
+    total = ranked.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weight")).first()
+    budget, level = share * float(total["words"] or 0), 0.0
+    # the level is what open sources get a weight; each source that it fills raises it for the others, until it fills no more
+    while total["weight"]:
+        full = F.col("capacity") <= F.lit(level) * F.col("weight")
+        row = ranked.agg(F.sum(F.when(full, F.col("capacity"))).alias("filled"), F.sum(F.when(~full, F.col("weight"))).alias("open")).first()
+        if not row["open"]:
+            break
+        higher = (budget - (row["filled"] or 0.0)) / row["open"]
+        if higher <= level:
+            break
+        level = higher
+    return ranked.select("source", "source_size", F.least(F.col("capacity"), F.lit(level) * F.col("weight")).alias("target"))
+
+
+def schedule(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, max_repeats: int = MAX_REPEATS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, tuple]:
+    """Rows with size, source_size, target and ``finish`` (of the first copy), and the cut.
+
+    The cut is the finish time and tie-break (source, draw, id) of the first copy that isn't taken, Nones if all are.
     """
-    carried = extra or []
-    keyed = docs.select(
-        F.col("doc_id").cast("long").alias("__id"),
-        F.col("source").alias("__source"),
-        size_of(F.col("text")).alias("__size"),
-        F.xxhash64(F.lit(seed), "doc_id", "text").alias("__draw"),
-        F.struct(*[F.col(c) for c in carried]).alias("__row") if carried else F.lit(None).cast("string").alias("__row"),
-    )
+    keyed = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("source").alias("__source"), size_of(F.col("text")).alias("__size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("__draw"))
     rows, rows_path = stored(keyed, "sizes")
     sources, sources_path = stored(rows.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"), F.count("*").alias("n")), "sources")
-    shares = targets(sources.select("source", "source_size"), weights=weights, share=share, max_repeats=max_repeats)
+    shares = targets(sources, weights=weights, share=share, max_repeats=max_repeats)
     shares = shares.join(sources.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     shares, shares_path = stored(shares.withColumn("buckets", F.ceil(F.col("n") / bucket_rows)), "targets")
 
@@ -92,7 +84,7 @@ def schedule(docs: DataFrame, extra: list[str] | None = None, *, weights: tuple[
     within = Window.partitionBy("source", "__bucket").orderBy(F.shiftrightunsigned("__draw", 1), "__draw", F.col("__id").asc_nulls_first())
     running = placed.withColumn("__sum", F.sum("__size").over(within.rowsBetween(Window.unboundedPreceding, 0)))
     timed = running.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("__bucket") == F.col("b"))).withColumn("__cum", F.col("__sum") + F.col("offset"))
-    timed = timed.select("__id", "__source", "__size", "__draw", "__row", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), "__cum", F.when(F.col("target") > 0, F.col("__cum") / F.col("target")).alias("__finish"))
+    timed = timed.select("__id", "__source", "__size", "__draw", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), "__cum", F.when(F.col("target") > 0, F.col("__cum") / F.col("target")).alias("__finish"))
     timed, _ = stored(timed, "finish")
     for path in (rows_path, sources_path, shares_path):
         drop_path(docs.sparkSession, path)
@@ -106,14 +98,12 @@ def _copies(timed: DataFrame, max_repeats: int) -> DataFrame:
     return again.withColumn("__at", F.col("__finish") + F.col("__copy") * F.col("__source_size") / F.col("__target"))
 
 
-def _cut(timed: DataFrame, max_repeats: int) -> DataFrame:
-    spark = timed.sparkSession
-    schema = "cut_at double, cut_source string, cut_draw long, cut_id long"
-    copies = _copies(timed, max_repeats)
+def _cut(timed: DataFrame, max_repeats: int) -> tuple:
+    copies, everything = _copies(timed, max_repeats), (None,) * 4
     top = copies.agg(F.max("__at")).first()[0]
     budget = timed.select("__source", "__target").distinct().agg(F.sum(F.col("__target").cast("decimal(30,6)"))).first()[0]
     if not top:
-        return spark.createDataFrame([(None,) * 4], schema)
+        return everything
     # widths are powers of two, so that a bin's edges are exact
     budget, low, width, before, found = float(budget), 0.0, 2.0 ** (math.floor(math.log2(top / BINS)) + 1), 0, None
     for _ in range(4):
@@ -126,7 +116,7 @@ def _cut(timed: DataFrame, max_repeats: int) -> DataFrame:
                 break
             before += row["words"]
         if found is None:
-            return spark.createDataFrame([(None,) * 4], schema)
+            return everything
         low += found["bin"] * width
         if found["n"] <= RANKED_ROWS:
             break
@@ -135,8 +125,8 @@ def _cut(timed: DataFrame, max_repeats: int) -> DataFrame:
     order = _order()
     running = last.withColumn("__words", F.sum("__size").over(Window.partitionBy(F.lit(0)).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
     over = running.where(F.col("__words") + before > budget).orderBy(*order).limit(1)
-    row = over.select(F.col("__at").alias("cut_at"), F.col("__source").alias("cut_source"), F.col("__draw").alias("cut_draw"), F.col("__id").alias("cut_id")).collect()
-    return spark.createDataFrame([tuple(row[0]) if row else (None,) * 4], schema)
+    row = over.select("__at", "__source", "__draw", "__id").collect()
+    return tuple(row[0]) if row else everything
 
 
 def _order() -> list[Column]:
@@ -152,10 +142,9 @@ def _taken(at: Column, cut: tuple) -> Column:
     return (at < cut_at) | ((at == cut_at) & (mine < theirs))
 
 
-def assignment(docs: DataFrame, extra: list[str] | None = None, *, max_repeats: int = MAX_REPEATS, **options) -> DataFrame:
-    """Per document row the columns ``__*`` of the schedule, ``__copies`` (how often the mix takes it) and ``__first``."""
-    timed, cut = schedule(docs, extra, max_repeats=max_repeats, **options)
-    where = tuple(cut.first())
+def assignment(docs: DataFrame, *, max_repeats: int = MAX_REPEATS, **options) -> DataFrame:
+    """Per document row the columns ``__*`` of the schedule, and ``__copies``: how often the mix takes it."""
+    timed, where = schedule(docs, max_repeats=max_repeats, **options)
     copies = F.lit(0)
     for k in range(max_repeats):
         at = F.col("__finish") + k * F.col("__source_size") / F.col("__target")
@@ -166,20 +155,21 @@ def assignment(docs: DataFrame, extra: list[str] | None = None, *, max_repeats:
 def mix(docs: DataFrame, *, seed: int = SEED, **options) -> DataFrame:
     """The mix: rows of ``docs``, each as often as it is taken, in order of their finish times (a range sort).
 
-    Texts stay out of the schedule and join its result by id and draw; only where rows are equal in both do they
-    travel with it.
+    Texts stay out of the schedule and join its result by id, draw and source. Rows equal in all three share what is
+    taken of them evenly; what is left over goes to one of them. Their copies stand anywhere between the finish times
+    of the first and the last of them.
     """
-    timed = assignment(docs, seed=seed, **options)
-    keys = timed.count()
-    if timed.select("__id", "__draw").distinct().count() == keys:
-        taken = timed.where("__copies > 0").drop("__row")
-        keyed = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").cast("long").alias("__k"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("__d"))
-        rows = keyed.join(taken, F.col("__k").eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__draw")))
-    else:
-        rows = assignment(docs, docs.columns, seed=seed, **options).where("__copies > 0")
-    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)))
-    rows = rows.withColumn("__at", F.col("__finish") + F.col("__copy") * F.col("__source_size") / F.col("__target"))
-    return rows.orderBy(*_order()).select("__row.*")
+    key = ["__id", "__draw", "__source"]
+    keys = assignment(docs, seed=seed, **options).groupBy(*key, "__source_size", "__target").agg(F.count("*").alias("__n"), F.sum("__copies").alias("__total"), F.min("__finish").alias("__first"), F.max("__finish").alias("__last"))
+    keys = keys.where("__total > 0").withColumns({"__each": F.expr("__total div __n"), "__left": F.expr("__total % __n")})
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").cast("long").alias("__k"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("__d"), F.col("source").alias("__s"))
+    rows = rows.join(stored(keys, "taken")[0], F.col("__k").eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__draw")) & F.col("__s").eqNullSafe(F.col("__source"))).drop("__k", "__d", "__s")
+    copies = lambda first, n: F.explode(F.sequence(first, first + n - 1)).alias("__copy")
+    taken = rows.where("__each > 0").select("*", copies(F.lit(0).cast("long"), F.col("__each")))
+    more = rows.where("__left > 0").dropDuplicates(key).select("*", copies(F.col("__each"), F.col("__left")))
+    between = F.col("__first") + F.when(F.col("__last") > F.col("__first"), F.rand(seed) * (F.col("__last") - F.col("__first"))).otherwise(0.0)
+    out = taken.union(more).withColumn("__at", between + F.least("__copy", "__each") * F.col("__source_size") / F.col("__target"))
+    return out.orderBy(*_order()).select("__row.*")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

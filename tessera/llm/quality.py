@@ -150,7 +150,9 @@ def fit(rows: DataFrame, *, max_labelled: int = MAX_LABELLED) -> QualityModel:
     rows = rows.where(F.col("y").isNotNull() & F.col("x").isNotNull())
     total = rows.count()
     draw = F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(draw < max_labelled / max(1, total)).withColumn("calibrates", F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(5)) == 0).coalesce(8)
+    sample = rows.where(draw < max_labelled / max(1, total)).withColumn("calibrates", F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(5)) == 0)
+    # stored once, so that what makes the rows keeps its own partitions and runs no more for each pass
+    sample = stored(sample.select("x", "y", "calibrates"), "labelled")[0].coalesce(8)
     parts = [F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(STATISTICS)] + [F.stddev_pop(F.col("x")[i]).alias(f"s{i}") for i in range(STATISTICS)]
     row = sample.agg(*parts, F.min("y").alias("low"), F.max("y").alias("high")).first()
     mean = np.array([row[f"m{i}"] or 0.0 for i in range(STATISTICS)])

@@ -1,20 +1,24 @@
 """Secret scan: candidates from whole texts, and a random forest that removes false positives. DataFrame only.
 
 A candidate is a run of at least ``MIN_LENGTH`` characters ``[A-Za-z0-9+/_=-]`` in a blank-delimited word that has a
-digit or changes from lower to upper case inside. Every such run of a word is a candidate with a number of its own, as
+digit, changes from lower to upper case inside, or has eight capitals in a row (shorter secrets aren't looked for: the
+length is a parameter of the method). Every such run of a word is a candidate with a number of its own, as
 minified JSON has many in one word. The word is then cut after each run and the signs that follow it, so that each run
 has its own surrounding text, and the runs beside it are its neighbours. The run is the value; it is described by its length,
-its shares of character kinds, its character transitions (kind to kind, and within letters between vowels and
-consonants), its distinct characters, how much of it words of a small dictionary cover, signs of a path or address
-around it, and the neighbouring words (the two before, the one after): words that announce secrets, words that
-announce harmless numbers, assignment signs and quotes.
+its shares of character kinds, its character transitions (kind to kind, and the mean log-odds of its pairs of
+characters), its distinct characters, how much of it words of a small dictionary cover, signs of a path or address
+around it, and the neighbouring words (the two before, the one after, and the rest of its own): their log-odds, words
+that announce secrets or harmless numbers, assignment signs and quotes.
+
+Both kinds of log-odds are learned from the labelled findings: of each pair of characters (letters by themselves,
+capitals, digits and signs as one each: a table of 29 by 29), and of the ``NEIGHBOURS`` words that stand around most findings.
 
 The forest (Spark ML, JVM) is trained from labelled findings: rows of (before2, before, word, after, label).
 ``example_findings`` makes a labelled set of fixed size from hashes of row numbers: tokens, keys and passwords in
 contexts that announce them, against commit ids, checksums, UUIDs, card numbers, paths, identifiers and placeholders.
 Its ``EXAMPLES`` rows are the documented bound of the fit, whatever the table's size.
 
-Only texts with a digit or a change of case inside a word, and a long enough run, are cut into words at all; cutting and
+Only texts with a digit, a change of case inside a word or eight capitals, and a long enough run, are cut into words at all; cutting and
 describing stay in the row, and only candidates leave it. There is no shuffle, so no hot key.
 
 Edge cases: null and empty texts have no candidate. Repeated rows and repeated candidates each give a row. A labelled
@@ -24,6 +28,8 @@ result. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -42,19 +48,21 @@ SEED = 17
 THRESHOLD = 0.5
 _SIGN = "[A-Za-z0-9+/_=-]"
 RUN = f"{_SIGN}{{{MIN_LENGTH},}}"
-#: A whole run that has a digit or changes from lower to upper case; tried only where a run starts, so in linear time.
-FOUND = f"(?<!{_SIGN})(?={_SIGN}*?(?:[0-9]|[a-z][A-Z])){RUN}"
+#: A whole run that has a digit, changes from lower to upper case or has eight capitals in a row; tried only where a run starts, so in linear time.
+FOUND = f"(?<!{_SIGN})(?={_SIGN}*?(?:[0-9]|[a-z][A-Z]|[A-Z]{{8}})){RUN}"
+NEIGHBOURS = 200
+_KINDS = "abcdefghijklmnopqrstuvwxyzA0-"
 DICTIONARY = "account address admin application backup build button cache change client cloud color column commit config connection container content controller count customer data database date default delete description document download element email enable error event example export factory field file filter folder format function global group handler header image import index input instance internal invalid item key label language layout length level library line list load local location log manager message method model module name network node number object option order output page parameter parent password path placeholder plugin point print process profile project property public query reader record register release remote report request response result return sample schema script search section secret select server service session setting source start state status storage store string style system table target template test text thread time title token type update upload user utils value variable version view width window worker write".split()
 ANNOUNCE = "key|token|secret|passw|pwd|credential|auth|bearer|apikey|private|access|signature"
 HARMLESS = "commit|sha|md5|checksum|digest|hash|etag|uuid|guid|isbn|card|serial|version|build|rev|revision|blob|tree|phone|invoice|order"
 PLACEHOLDER = "x{6}|example|changeme|your|dummy|placeholder|0{8}|sample|redacted|1234567"
-FEATURES = ("length", "digits", "upper", "lower", "signs", "changes", "vowel_changes", "distinct", "hex", "dictionary", "path", "address", "announced", "announced_far", "harmless", "assigned", "quoted", "placeholder", "groups", "only_digits")
+FEATURES = ("length", "digits", "upper", "lower", "signs", "changes", "vowel_changes", "distinct", "hex", "dictionary", "path", "address", "announced", "announced_far", "harmless", "assigned", "quoted", "placeholder", "groups", "only_digits", "pairs", "neighbours")
 
 
 def candidates(docs: DataFrame) -> DataFrame:
     """Per candidate: doc_id, place (the word's number), run (its number in the word), before2, before, word, after, value."""
     text = F.col("text")
-    likely = docs.where(text.rlike("[0-9]|[a-z][A-Z]") & text.rlike(RUN)).select(F.col("doc_id").cast("long").alias("doc_id"), F.split(text, r"\s+").alias("words"))
+    likely = docs.where(text.rlike("[0-9]|[a-z][A-Z]|[A-Z]{8}") & text.rlike(RUN)).select(F.col("doc_id").cast("long").alias("doc_id"), F.split(text, r"\s+").alias("words"))
     near = lambda i: F.coalesce(F.get(F.col("words"), i), F.lit(""))
     one = lambda w, i: F.when((F.length(w) >= MIN_LENGTH) & w.rlike(FOUND), F.struct(i.cast("long").alias("place"), near(i - 2).alias("before2"), near(i - 1).alias("before"), w.alias("word"), near(i + 1).alias("after")))
     found = likely.select("doc_id", F.explode(F.filter(F.transform("words", one), lambda x: x.isNotNull())).alias("x")).select("doc_id", "x.*")
@@ -82,10 +90,52 @@ def value_of(word: Column) -> Column:
     return F.reduce(runs, F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
 
 
-def described(rows: DataFrame) -> DataFrame:
+def _pairs(value: Column) -> Column:
+    """The pairs of characters of a run as numbers from 1 to 29 * 29."""
+    kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[A-Z]", "A"), "[0-9]", "0"), "[^A-Za-z0-9]", "-")
+    codes = F.transform(F.filter(F.split(kinds, ""), lambda c: c != ""), lambda c: F.instr(F.lit(_KINDS), c))
+    return F.transform(F.array(codes), lambda x: F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: (a - 1) * len(_KINDS) + b))[0]
+
+
+def _neighbours() -> Column:
+    """The distinct words around a value, in lower case."""
+    around = F.concat_ws(" ", "before2", "before", F.replace(F.col("word"), F.col("value"), F.lit(" ")), "after")
+    return F.array_distinct(F.filter(F.split(F.lower(around), "[^a-z]+"), lambda w: F.length(w) > 1))
+
+
+@dataclass
+class Odds:
+    """Log-odds of a secret: by pair of characters, and by neighbouring word."""
+
+    pairs: list[float]
+    words: dict[str, float]
+
+
+def learn_odds(findings: DataFrame, *, neighbours: int = NEIGHBOURS) -> Odds:
+    """From labelled findings; at most 841 counts of pairs and ``neighbours`` of words reach the driver."""
+    rows = findings.select("*") if "value" in findings.columns else findings.withColumn("value", value_of(F.col("word")))
+    is_secret = F.col("label") == 1
+
+    def counted(keys: Column) -> DataFrame:
+        return rows.select(F.explode(keys).alias("key"), is_secret.alias("s")).groupBy("key").agg(F.count_if("s").alias("yes"), F.count_if(~F.col("s")).alias("no"))
+
+    n = rows.agg(F.count_if(is_secret).alias("yes"), F.count_if(~is_secret).alias("no")).first()
+    found = counted(_pairs(F.col("value"))).collect()
+    yes, no = (sum(r[k] for r in found) + len(_KINDS) ** 2 for k in ("yes", "no"))
+    pairs = [0.0] * len(_KINDS) ** 2
+    for r in found:
+        pairs[r["key"] - 1] = math.log((r["yes"] + 1) / yes) - math.log((r["no"] + 1) / no)
+    top = counted(_neighbours()).orderBy(F.desc(F.col("yes") + F.col("no")), "key").limit(neighbours).collect()
+    return Odds(pairs, {r["key"]: math.log((r["yes"] + 1) / (n["yes"] + 2)) - math.log((r["no"] + 1) / (n["no"] + 2)) for r in top})
+
+
+def described(rows: DataFrame, odds: Odds) -> DataFrame:
     """The candidates with their value and features."""
     if "value" not in rows.columns:
         rows = rows.withColumn("value", value_of(F.col("word")))
+    of_pair, of_word = F.array(*map(F.lit, odds.pairs)), [F.when(F.array_contains("__words", w), F.lit(x)).otherwise(0.0) for w, x in odds.words.items()]
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, x: s + x)
+    rows = rows.withColumns({"__pairs": _pairs(F.col("value")), "__words": _neighbours()})
     value, n = F.col("value"), F.length("value")
     count = lambda pattern: F.regexp_count(value, F.lit(pattern))
     share = lambda pattern: count(pattern) / n
@@ -113,8 +163,10 @@ def described(rows: DataFrame) -> DataFrame:
         "placeholder": flag(F.lower(value).rlike(PLACEHOLDER)),
         "groups": flag(value.rlike("^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-")),
         "only_digits": flag(value.rlike("^[0-9-]+$")),
+        "pairs": total(F.transform("__pairs", lambda p: F.element_at(of_pair, p))) / F.greatest(F.size("__pairs"), F.lit(1)),
+        "neighbours": total(F.array(F.lit(0.0), *of_word)),
     }
-    return rows.withColumns({f"f_{k}": F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in features.items()})
+    return rows.withColumns({f"f_{k}": F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in features.items()}).drop("__pairs", "__words")
 
 
 def example_findings(spark: SparkSession, rows: int = EXAMPLES) -> DataFrame:
@@ -153,15 +205,26 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features")
 
 
-def train(findings: DataFrame, *, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> RandomForestClassificationModel:
-    """A forest from labelled findings."""
+@dataclass
+class SecretModel:
+    forest: RandomForestClassificationModel
+    odds: Odds
+
+    def judge(self, rows: DataFrame) -> DataFrame:
+        """Candidates or findings with what the forest says of them."""
+        return self.forest.transform(_assembler().transform(described(rows, self.odds)))
+
+
+def train(findings: DataFrame, *, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> SecretModel:
+    """Log-odds and a forest from labelled findings."""
+    odds = learn_odds(findings)
     forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed)
-    return forest.fit(_assembler().transform(described(findings)).select("features", "label"))
+    return SecretModel(forest.fit(_assembler().transform(described(findings, odds)).select("features", "label")), odds)
 
 
-def scan(docs: DataFrame, model: RandomForestClassificationModel, *, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, model: SecretModel, *, threshold: float = THRESHOLD) -> DataFrame:
     """Per candidate: doc_id, place, run, word (its part of it), value, score (0 to 1) and is_secret."""
-    judged = model.transform(_assembler().transform(described(candidates(docs))))
+    judged = model.judge(candidates(docs))
     score = vector_to_array("probability")[1]
     return judged.select("doc_id", "place", "run", "word", "value", score.alias("score"), (score >= threshold).alias("is_secret"))
 

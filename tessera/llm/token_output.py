@@ -2,12 +2,13 @@
 
 A shard is two Arrow stream files. ``ids-*.arrow`` holds the shard's token stream cut into sequences of
 ``sequence`` ids: a fixed-size list of the narrowest unsigned integers that hold the vocabulary, and a fixed-size
-list of booleans that mark real ids (only the last sequence of a shard is padded). Every record batch but the last
+list of bytes, 1 for a real id and 0 for padding (only the last sequence of a shard is padded). Every record batch but the last
 has ``batch_rows`` sequences and nothing is compressed, so batch ``k`` begins at ``header + k * stride`` and a
-reader maps the file and takes sequence ``i`` in place (``SequenceFile``). ``docs-*.arrow`` lists the shard's
+reader maps the file and takes sequence ``i`` and its mask in place (``SequenceFile``). ``docs-*.arrow`` lists the shard's
 documents with their first place and length in the stream.
 
-Documents are dealt to shards by range of doc_id, sorted within, tokenised and written by one map per shard. Files
+Documents are dealt to shards by range of doc_id (at least as many as the session has shuffle partitions, and more
+where the input's size asks for it), sorted within, tokenised and written by one map per shard. Files
 get the name of their shard and of the attempt; the manifest, written through Spark's committer, names the files of
 the attempt that counted, so a lost executor or a repeated task leaves no half shard.
 
@@ -35,6 +36,8 @@ from .common import scratch, shuffle_width, table
 SEQUENCE = 2048
 BATCH_ROWS = 64
 CACHE_PIECES = 1_500_000
+SHARD_BYTES = 256 << 20
+_UNKNOWN = 1 << 50
 END_ID = 2
 _SLICE = 128
 _SENTINEL = "<|endoftext|>"
@@ -106,7 +109,7 @@ class ShardWriter:
     def __init__(self, sink, kind: np.dtype, sequence: int, batch_rows: int) -> None:
         self.kind, self.sequence, self.batch_rows, self.sink = kind, sequence, batch_rows, sink
         value = pa.uint16() if kind.itemsize == 2 else pa.uint32()
-        self.schema = pa.schema([("ids", pa.list_(value, sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
+        self.schema = pa.schema([("ids", pa.list_(value, sequence)), ("mask", pa.list_(pa.uint8(), sequence))])
         self.value = value
         self.writer = pa.ipc.new_stream(sink, self.schema)
         self.header = self.schema.serialize().size  # written with the first batch
@@ -128,10 +131,10 @@ class ShardWriter:
             self.held, self.held_bytes = [rest], len(rest)
 
     def _write(self, ids: np.ndarray, valid: int | None) -> None:
-        mask = np.ones(len(ids), bool)
+        mask = np.ones(len(ids), np.uint8)
         if valid is not None:
-            mask[valid:] = False
-        lists = [pa.FixedSizeListArray.from_arrays(pa.array(x, t), self.sequence) for x, t in ((ids, self.value), (mask, pa.bool_()))]
+            mask[valid:] = 0
+        lists = [pa.FixedSizeListArray.from_arrays(pa.array(x, t), self.sequence) for x, t in ((ids, self.value), (mask, pa.uint8()))]
         self.writer.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
         self.stride = self.stride or self.sink.tell() - self.header
 
@@ -194,7 +197,9 @@ def write_tokens(docs: DataFrame, folder: str, *, tokenizer_path: str | None = N
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    dealt = rows.repartitionByRange(shuffle_width(spark), F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # Spark's estimate, without a pass
+    shards = max(shuffle_width(spark), -(-size // SHARD_BYTES) if size < _UNKNOWN else 0)
+    dealt = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     dealt.mapInArrow(_writer(f"{folder}/shards", tokenizer_path or public_tokenizer(), end_id, sequence, batch_rows), _MANIFEST).write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 
@@ -222,7 +227,7 @@ class SequenceFile:
         k = i % self.batch_rows
         n = self.schema.field("ids").type.list_size
         ids, mask = (batch.column(c).values.slice(k * n, n) for c in (0, 1))
-        return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
+        return ids.to_numpy(), mask.to_numpy().view(bool)
 
 
 def _reader(batches):
@@ -240,7 +245,7 @@ def _reader(batches):
                         while n > len(held):  # a document may go on in the next batch
                             crc, n = zlib.crc32(held.tobytes(), crc), n - len(held)
                             part = next(stream)
-                            valid = part.column(1).values.to_numpy(zero_copy_only=False)
+                            valid = part.column(1).values.to_numpy().view(bool)
                             held = part.column(0).values.to_numpy()[valid].astype("<u4")
                         crcs.append(zlib.crc32(held[:n].tobytes(), crc))
                         held = held[n:]

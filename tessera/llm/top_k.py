@@ -9,12 +9,15 @@ smallest ids a query, so a third of all vectors being equal costs no more. Ranks
 Queries are a stated set against all rows and go in blocks of at most ``BLOCK`` queries: a block (a few MB at most,
 whatever the table's size) is broadcast, each pass is one map over the vectors in batches, and the block's
 histograms (``BLOCK * BINS`` counts) meet on the driver. Vectors are quantised and written once, so passes read
-integers. Products run in float64, exact below 2**53 and checked; beyond that in Python integers.
-
-Edge cases: vectors that are null, empty, or hold a null or a component that isn't finite take no part, as query or
-candidate. A query meets vectors of its own length only. Every row but those with the query's own id is a
-candidate; rows that repeat an id each are, and of query rows that repeat an id and differ the smallest vector
-asks. A query with fewer than k candidates returns them all. An empty table gives an empty result.
+whole numbers. Products run in float64, exact below 2**53 and checked; beyond that in Python integers.
+
+Edge cases: vectors that are null, or hold a null or a component that isn't finite take no part, as query or
+candidate; all others do. A score of ``2**61`` or more in size, for which a long has no room in the histograms, is an
+error that names its row. A query meets vectors of its own length only (empty ones meet empty ones). Every row but those
+with the query's own id is a candidate, those with a null id too, which come after all ids among equal scores (the id
+2**63 - 1 can't be told from null); rows with a null id don't ask. Rows that repeat an id each are candidates, and of
+query rows that repeat an id and differ the smallest vector asks. A query with fewer than k candidates returns them
+all. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,14 +33,18 @@ K = 5
 BLOCK = 4096
 BINS = 64
 _EXACT = 1 << 53
+_MOST = 1 << 61
+_NO_ID = (1 << 63) - 1
 _RESULT = "query_id long, vec_id long, score long"
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
-    """vec_id and the components as floor(256 * x); rows that take no part are left out."""
+    """vec_id and the components as floor(256 * x), whole numbers in double precision; rows that take no part are left out."""
     wide = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
-    usable = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float(1 << 54)))) & (F.size("e") > 0)
-    return wide.where(F.col("vec_id").isNotNull() & F.col("e").isNotNull() & usable).select("vec_id", F.transform("e", lambda x: F.floor(x * 256).cast("long")).alias("v"))
+    usable = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    # from 2**53 on a double is whole
+    floor = lambda x: F.when(F.abs(x) < float(1 << 53), F.floor(x).cast("double")).otherwise(x)
+    return wide.where(F.col("e").isNotNull() & usable).select("vec_id", F.transform("e", lambda x: floor(x * 256)).alias("v"))
 
 
 def _by_length(ids: np.ndarray, vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -47,14 +54,16 @@ def _by_length(ids: np.ndarray, vectors: pa.Array) -> dict[int, tuple[np.ndarray
     return {int(n): (ids[lengths == n], flat[begins[lengths == n][:, None] + np.arange(n)]) for n in np.unique(lengths)}
 
 
-def _products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    most = int(np.abs(queries).max(initial=0)) * int(np.abs(rows).max(initial=0)) * queries.shape[1]
-    if most < _EXACT:
-        return (queries.astype(np.float64) @ rows.astype(np.float64).T).astype(np.int64)
-    if most < 1 << 62:
-        return queries @ rows.T
-    exact = queries.astype(object) @ rows.astype(object).T
-    return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
+def _products(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndarray) -> np.ndarray:
+    if float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * queries.shape[1] < _EXACT:
+        return (queries @ rows.T).astype(np.int64)
+    whole = lambda m: np.array([[int(x) if np.isfinite(x) else _MOST**2 for x in row] for row in m.tolist()], object).reshape(m.shape)
+    exact = whole(queries) @ whole(rows).T
+    exact[own] = 0
+    beyond = (np.abs(exact) >= _MOST).any(axis=0)
+    if beyond.any():
+        raise ValueError(f"a score with vec_id {ids[beyond][0]} is 2**61 or more in size")
+    return exact.astype(np.int64)
 
 
 _SLICE = 1024
@@ -65,10 +74,11 @@ def _scores(block, batches):
     for whole in batches:
         for at in range(0, whole.num_rows, _SLICE):
             batch = whole.slice(at, _SLICE)
-            for n, (ids, rows) in _by_length(np.asarray(batch.column(0)), batch.column(1)).items():
+            for n, (ids, rows) in _by_length(np.asarray(batch.column(0).fill_null(_NO_ID)), batch.column(1)).items():
                 if n in block:
                     numbers, query_ids, queries = block[n]
-                    yield numbers, query_ids, ids, _products(queries, rows), query_ids[:, None] == ids[None, :]
+                    own = query_ids[:, None] == ids[None, :]
+                    yield numbers, query_ids, ids, _products(queries, rows, ids, own), own
 
 
 def _histogram(shared):
@@ -109,6 +119,7 @@ def _selector(shared):
                     found.sort()
                     del found[k:]
         rows = [(q, v, -s) for q, found in best.items() for s, v in sorted(found)[:k]]
+        rows = [(q, None if v == _NO_ID else v, s) for q, v, s in rows]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], names=["query_id", "vec_id", "score"])
 
     return select
@@ -118,7 +129,7 @@ def _block(rows: list) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     out = {}
     for n in {len(r["v"]) for r in rows}:
         numbers = np.array([i for i, r in enumerate(rows) if len(r["v"]) == n])
-        out[n] = (numbers, np.array([rows[i]["vec_id"] for i in numbers], np.int64), np.array([rows[i]["v"] for i in numbers], np.int64).reshape(len(numbers), n))
+        out[n] = (numbers, np.array([rows[i]["vec_id"] for i in numbers], np.int64), np.array([rows[i]["v"] for i in numbers], np.float64).reshape(len(numbers), n))
     return out
 
 
@@ -134,18 +145,17 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = K, block: int = BLO
     """For each query row (``is_query`` of vec_id): query_id, rank, vec_id, score of its k best other rows."""
     spark = vectors.sparkSession
     rows, _ = stored(quantised(vectors), "quantised")
-    queries, _ = stored(rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")).orderBy("vec_id"), "queries")
+    queries, _ = stored(rows.where(is_query & F.col("vec_id").isNotNull()).groupBy("vec_id").agg(F.min("v").alias("v")).orderBy("vec_id"), "queries")
     partitions = rows.rdd.getNumPartitions()
-    largest = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x))).first()[0]
+    largest = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0]
     out = scratch(spark, "top")
-    result = spark.createDataFrame([], _RESULT)
     held: list = []
 
-    def run(held: list, number: int) -> DataFrame:
+    def run(held: list, number: int) -> None:
         packed = _block(held)
         # no score is beyond the product of the two lengths; the window starts there
         norms = np.array([float(np.sqrt(sum(float(x) * x for x in r["v"]))) for r in held]) * np.sqrt(largest or 0.0) + 1
-        bound = np.minimum(np.ceil(norms), float(1 << 61)).astype(np.int64)
+        bound = np.minimum(np.ceil(norms), float(_MOST)).astype(np.int64)
         low, width = -bound, np.maximum(1, -(-2 * bound // BINS) + 1)
         kth, above, done = np.full(len(held), -(1 << 62), np.int64), np.zeros(len(held), np.int64), np.zeros(len(held), bool)
         while not done.all():
@@ -166,16 +176,16 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = K, block: int = BLO
                     width[i] = -(-width[i] // BINS)
         shared = spark.sparkContext.broadcast((packed, kth, k))
         rows.mapInArrow(_selector(shared), _RESULT).write.parquet(f"{out}/block={number}")
-        return spark.read.schema(_RESULT).parquet(f"{out}/block={number}")
 
     number = 0
     for row in queries.orderBy("vec_id").toLocalIterator():
         held.append(row)
         if len(held) == block:
-            result, held, number = result.union(run(held, number)), [], number + 1
-    if held:
-        result = result.union(run(held, number))
-    ranked = result.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+            run(held, number)
+            held, number = [], number + 1
+    if held or not number:
+        run(held, number)
+    ranked = spark.read.schema(_RESULT).parquet(out).withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -6,15 +6,19 @@ with the rule's; the longest that fits decides.
 URLs without a fixed rule are judged by mined rules. A URL's tokens are its scheme, host labels by place, the words of
 host labels, path segments (numbers as one token) and query names. Spark's FP-growth finds token combinations that
 are frequent together with the label ``block`` among labelled URLs, of any number of tokens; rules need a least support
-(``MIN_SUPPORT``, a share of all labelled URLs, blocked or not) and confidence, and a rule goes if one with a subset of
+(``MIN_SUPPORT``, a share of all labelled URLs, blocked or not, and ``MIN_ROWS`` blocked URLs at least) and confidence, and a rule goes if one with a subset of
 its tokens is as confident. Every frequent combination is judged, where it was mined, by the row numbers of its tokens
 (their size is bound by ``MAX_LABELLED``). Tokens of the very same rows are mined as one, and tokens of blocked rows
 only are rules by themselves; neither changes the rules. Only then are the rules cut to ``MAX_RULES``, the most
 confident and then the most frequent. They are held in an inverted index under their rarest token, so a URL looks up
 its own tokens only and checks the few rules they lead to. A URL that a rule matches is blocked, others allowed.
 
-Labels are given by the caller. ``weak_labels`` makes them for tables without any: words of a fixed list in the host
-mark a URL as blocked. At most about ``MAX_LABELLED`` labelled URLs are mined, chosen by hash (the documented bound).
+Labels are given by the caller. For a table without any, ``list_labels`` takes them from lists: URLs that the fixed rules
+block, or whose host has a word of ``CATEGORIES`` (a general list, not drawn from any table), are marked, all others
+count as not blocked. What states the lists (tokens of fixed rules, and tokens with a listed word) is withheld from
+mining, so that rules can't repeat them: what is mined are combinations of other tokens nearly all of whose URLs the lists
+block, and they block the URLs that the lists don't reach. At most about ``MAX_LABELLED`` labelled URLs are mined, chosen
+by hash (the documented bound).
 The index is fixed in size and broadcast; judging is one map over the pages, so no key can be hot.
 
 Edge cases: a URL that is null or has no ``://`` has an empty host and path, no tokens, no rule, and is allowed. Only
@@ -38,11 +42,19 @@ from pyspark.sql import functions as F
 from .common import stored, table
 
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
-BLOCK_WORDS = ("ads", "adult", "bets", "casino", "pills", "spam")
 MAX_LABELLED = 50_000
 MAX_RULES = 5_000
 MIN_SUPPORT = 0.001
 MIN_CONFIDENCE = 0.9
+MIN_ROWS = 10
+CATEGORIES = {
+    "gambling": "bet bets betting bingo casino gamble gambling jackpot lottery poker roulette slots wager",
+    "adult": "adult cams escort erotic hentai nude porn sex xxx",
+    "pharmacy": "cialis drugs pharma pharmacy pills steroids viagra",
+    "advertising": "ad ads adserver affiliate banner banners clicks doubleclick popup promo sponsor tracker",
+    "fraud and malware": "crack cracks hacked keygen malware phishing prize ransomware scam spam spyware virus warez",
+    "lending": "debt loan loans payday",
+}
 _BLOCKED = "=block"
 _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _URL = r"(?s)^(.*?)://([^/?#]*)([^?#]*)"
@@ -68,16 +80,31 @@ def tokens_of(url: str | None, host: str, path: str) -> list[str]:
     return sorted(out | {"q:" + x.partition("=")[0] for x in query.split("&") if x})
 
 
-def _tokeniser(batches):
-    for batch in batches:
-        rows = [tokens_of(*r) + ([_BLOCKED] if blocked else []) for *r, blocked in zip(*(c.to_pylist() for c in batch.columns))]
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], names=["items"])
+def _tokeniser(withheld: frozenset[str]):
+    def tokenise(batches):
+        for batch in batches:
+            rows = [[t for t in tokens_of(*r) if not (withheld and _stated(t, withheld))] + ([_BLOCKED] if blocked else []) for *r, blocked in zip(*(c.to_pylist() for c in batch.columns))]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], names=["items"])
+
+    return tokenise
+
+
+def list_tokens(fixed=RULES) -> frozenset[str]:
+    """The tokens that state fixed rules; those with a listed word are found by ``_stated``."""
+    return frozenset(t for host, path, _ in fixed for t in tokens_of(f"://{host}{path}", host, path) if t != "s:")
+
 
+_LISTED = frozenset(w for words in CATEGORIES.values() for w in words.split())
 
-def weak_labels(pages: DataFrame) -> DataFrame:
-    """url and blocked: whether a word of the host is one of ``BLOCK_WORDS``."""
-    words = F.split(host_of(F.col("url")), "[^a-z]+")
-    return pages.where(F.col("url").contains("://")).select("url", F.arrays_overlap(words, F.array(*map(F.lit, BLOCK_WORDS))).alias("blocked"))
+
+def _stated(token: str, withheld: frozenset[str]) -> bool:
+    return token in withheld or (token[0] in "hw" and not _LISTED.isdisjoint(re.split(r"[-_0-9]+", token.partition(":")[2])))
+
+
+def list_labels(pages: DataFrame, fixed=RULES) -> DataFrame:
+    """url and blocked: whether a fixed rule blocks it, or its host has a listed word."""
+    listed = F.arrays_overlap(F.split("host", "[^a-z]+"), F.array(*map(F.lit, sorted(_LISTED))))
+    return judge(pages, [], fixed).where(F.col("url").contains("://")).select("url", ((F.col("rule").isNotNull() & (F.col("verdict") == "block")) | listed).alias("blocked"))
 
 
 def _rules(shared, n: int, min_support: float, min_confidence: float):
@@ -129,18 +156,21 @@ def _placer(tokens):
     return place
 
 
-def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_labelled: int = MAX_LABELLED, max_rules: int = MAX_RULES) -> list[tuple[frozenset, float, float]]:
-    """Rules (tokens, confidence, support) for ``block`` from (url, blocked); support is the share of all labelled rows."""
+def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_labelled: int = MAX_LABELLED, max_rules: int = MAX_RULES, min_rows: int = MIN_ROWS, withheld: frozenset[str] = frozenset()) -> list[tuple[frozenset, float, float]]:
+    """Rules (tokens, confidence, support) for ``block`` from (url, blocked); support is the share of all labelled rows.
+
+    With ``withheld`` tokens, these and tokens with a listed word are in no rule.
+    """
     labelled = labelled.where(F.col("url").isNotNull() & F.col("blocked").isNotNull())
     spark, total = labelled.sparkSession, labelled.count()
     draw = F.pmod(F.xxhash64(F.lit(5), "url", F.col("blocked")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # equal URLs are drawn together, so they are thinned by hash of the URL and counted whole
     sample = labelled.where(draw < max_labelled / max(1, total)).select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "blocked")
-    items, _ = stored(sample.mapInArrow(_tokeniser, "items array<string>"), "items")
+    items, _ = stored(sample.mapInArrow(_tokeniser(withheld), "items array<string>"), "items")
     n = items.count()
     blocked = items.where(F.array_contains("items", _BLOCKED)).select(F.array_remove("items", _BLOCKED).alias("items"))
     n_blocked = blocked.count()
-    need = max(1, math.ceil(min_support * n - 1e-9))
+    need = max(1, min_rows, math.ceil(min_support * n - 1e-9))
     if n_blocked < need:
         return []
     often = {r["token"] for r in blocked.select(F.explode("items").alias("token")).groupBy("token").count().where(F.col("count") >= need).collect()}
@@ -199,13 +229,13 @@ def _judge(shared):
                     best = (None, "block" if any(rule <= have for t in tokens for rule in index.get(t, ())) else "allow")
                 rules.append(best[0])
                 verdicts.append(best[1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(rules, pa.string()), pa.array(verdicts, pa.string())], names=["page_id", "host", "path", "rule", "verdict"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(rules, pa.string()), pa.array(verdicts, pa.string()), batch.column(1)], names=["page_id", "host", "path", "rule", "verdict", "url"])
 
     return judge
 
 
 def judge(pages: DataFrame, mined: list[tuple[frozenset, float, float]], fixed=RULES) -> DataFrame:
-    """Per page row: page_id, host, path, rule, verdict."""
+    """Per page row: page_id, host, path, rule, verdict, url."""
     by_host: dict[str, list[tuple[str, str]]] = {}
     for host, path, verdict in fixed:
         by_host.setdefault(host, []).append((path, verdict))
@@ -215,9 +245,9 @@ def judge(pages: DataFrame, mined: list[tuple[frozenset, float, float]], fixed=R
             frequency[token] = frequency.get(token, 0) + 1
     shared = pages.sparkSession.sparkContext.broadcast((by_host, _index([r[0] for r in mined], frequency)))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    return rows.mapInArrow(_judge(shared), "page_id long, host string, path string, rule string, verdict string")
+    return rows.mapInArrow(_judge(shared), "page_id long, host string, path string, rule string, verdict string, url string")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return judge(pages, mine(weak_labels(pages)))
+    return judge(pages, mine(list_labels(pages), withheld=list_tokens())).drop("url")

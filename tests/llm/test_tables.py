@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,8 +48,39 @@ def test_odd(name, spark, odd):
     import __spark_entry__
 
     ship(spark)
-    n = __spark_entry__.queries()[name](spark, odd).count()
+    rows = [r.asDict() for r in __spark_entry__.queries()[name](spark, odd).collect()]
+    documents = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{odd}/documents.parquet").collect()}
+    repeated = next(iter(documents))  # the first row, which stands there twice
     if name in ("op3_token_output", "op4_mixing", "op6_url_rules", "op7_decontaminate", "op8_near_dup", "op9_language_id", "op10_quality"):
-        assert n == 14
-    if name == "op2_line_dedup":
-        assert n == 13  # rows equal in id and text are one document
+        assert len(rows) == 14
+    if name in ("op3_token_output", "op4_mixing", "op7_decontaminate", "op8_near_dup", "op9_language_id", "op10_quality"):
+        assert [r["doc_id"] for r in rows].count(None) == 1 and [r["doc_id"] for r in rows].count(repeated) == 2
+        one, two = (r for r in rows if r["doc_id"] == repeated)
+        assert name in ("op3_token_output", "op4_mixing") or one == two
+    no_id = next((r for r in rows if "doc_id" in r and r["doc_id"] is None), None)
+    if name == "op1_secrets":
+        assert {r["doc_id"] for r in rows} <= {i for i, t in documents.items() if t} and all(0 <= r["score"] <= 1 and r["length"] >= 16 for r in rows)
+    elif name == "op2_line_dedup":
+        assert len(rows) == 13  # rows equal in id and text are one document
+        assert (no_id["n_lines"], no_id["n_deleted"]) == (0, 0)
+    elif name == "op3_token_output":
+        assert (no_id["start"], no_id["n_tokens"]) == (0, 1) and sorted(r["start"] for r in rows)[-1] == sum(sorted(r["n_tokens"] for r in rows)) - max(rows, key=lambda r: r["start"])["n_tokens"]
+    elif name == "op4_mixing":
+        assert (no_id["size"], no_id["taken"]) == (0, 0) and all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in rows)
+    elif name == "op5_top_k":
+        vectors = {r["vec_id"]: r["embedding"] for r in spark.read.parquet(f"{odd}/embeddings.parquet").collect()}
+        assert {r["query_id"] for r in rows} == {i for i in vectors if i is not None and i % 50 == 0} and sorted(r["rank"] for r in rows) == [1, 2, 3, 4, 5]
+        assert all(r["vec_id"] not in (None, r["query_id"]) and r["score"] == sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(vectors[r["query_id"]], vectors[r["vec_id"]])) for r in rows)
+    elif name == "op6_url_rules":
+        assert [(r["host"], r["path"], r["rule"], r["verdict"]) for r in rows if r["page_id"] is None] == [("", "", None, "allow")]
+    elif name == "op7_decontaminate":
+        assert (no_id["n_words"], no_id["n_hit"], no_id["n_items"], no_id["contaminated"]) == (0, 0, 0, False)
+    elif name == "op8_near_dup":
+        assert no_id["class_id"] is None and no_id["stays"] and one["class_id"] == repeated and one["similarity"] == 1.0
+    elif name == "op9_language_id":
+        assert (no_id["lang_pred"], no_id["score"], no_id["held_out"]) == ("und", 0.0, False)
+    elif name == "op10_quality":
+        assert 0 <= no_id["score"] <= 1 and no_id["predicted"] == int(no_id["score"] >= 0.3)
+    elif name == "pipeline":
+        found = [r["doc_id"] for r in rows]
+        assert found and set(found) <= {i for i, t in documents.items() if t} and max(map(found.count, found)) <= 2
