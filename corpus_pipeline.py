@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontaminate, language_id, mixing, near_dup, token_output
-from tessera.llm.common import scratch, ship, stored, table
+from tessera.llm.common import drop_path, scratch, ship, stored, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        docs, path = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if last:
+            drop_path(spark, last)
+        last = path
+    out = STAGES[-1][1](spark, docs, sf_dir)  # written and closed; what is read later are its own files
+    if last:
+        drop_path(spark, last)
+    return out
