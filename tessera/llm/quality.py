@@ -70,8 +70,15 @@ def statistics_of(text: str | None) -> list[float]:
     ]
 
 
+def _slices(batches, rows: int):
+    """Smaller batches, which bound what a worker holds."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, rows):
+            yield whole.slice(at, rows)
+
+
 def _statistician(batches):
-    for batch in batches:
+    for batch in _slices(batches, 256):
         rows = [statistics_of(text) for text in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "x"])
 
@@ -106,7 +113,7 @@ class QualityModel:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.asarray(column.values).reshape(-1, STATISTICS)
+    return np.asarray(column.flatten()).reshape(-1, STATISTICS)
 
 
 def _sums(shared):
@@ -115,7 +122,7 @@ def _sums(shared):
     def add(batches):
         model, n = shared.value, FEATURES + 1
         gram, target = np.zeros((n, n)), np.zeros(n)
-        for batch in batches:
+        for batch in _slices(batches, 2048):
             z = model.expand(_matrix(batch.column(0)))
             gram += z.T @ z
             target += z.T @ np.asarray(batch.column(1))
@@ -126,7 +133,7 @@ def _sums(shared):
 
 def _raw_scores(shared):
     def score(batches):
-        for batch in batches:
+        for batch in _slices(batches, 2048):
             yield pa.RecordBatch.from_arrays([pa.array(shared.value.raw(_matrix(batch.column(0)))), batch.column(1)], names=["raw", "y"])
 
     return score
@@ -179,7 +186,7 @@ def fit(rows: DataFrame, *, max_labelled: int = MAX_LABELLED) -> QualityModel:
 
 def _scorer(shared):
     def score(batches):
-        for batch in batches:
+        for batch in _slices(batches, 2048):
             found = shared.value.score(_matrix(batch.column(2)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found), pa.array((found >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 

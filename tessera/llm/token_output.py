@@ -13,8 +13,8 @@ get the name of their shard and of the attempt; the manifest, written through Sp
 the attempt that counted, so a lost executor or a repeated task leaves no half shard.
 
 The tokenizer caches pieces between blanks and line ends: normalisation and pre-tokenisation of the tokenizer never
-look across such a blank, so the ids of a text are the ids of its pieces in a row. The cache is emptied at
-``CACHE_PIECES`` entries.
+look across such a blank, so the ids of a text are the ids of its pieces in a row. Where samples show that the tokenizer
+takes a word and the signs behind it apart, or lowers ASCII, words and signs are cached for themselves. The cache is emptied at ``CACHE_PIECES`` entries.
 
 Edge cases: a null text is an empty one, and has the end id only. Null doc_ids come first. Rows that repeat a doc_id
 stand in order of their texts. An empty table gives no shard and no row. Other columns are not read.
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,9 @@ CACHE_PIECES = 1_500_000
 SHARD_BYTES = 256 << 20
 _UNKNOWN = 1 << 50
 END_ID = 2
-_SLICE = 128
-_SENTINEL = "<|endoftext|>"
+_SLICE = 512
+_MARK = "\x01"
+_SIGNS = ".,;:!?$%&*#+-=/()[]\""
 
 
 def public_tokenizer() -> str:
@@ -63,7 +65,13 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.cache: dict[str, bytes] = {}
-        self.sentinel = self.tokenizer.token_to_id(_SENTINEL)
+        alone, between = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in (_MARK, f"a {_MARK} a"))
+        self.mark = alone[0] if len(alone) == 1 and between.count(alone[0]) == 1 else None
+        ids = lambda *texts: [i for t in texts for i in self.tokenizer.encode(t, add_special_tokens=False).ids]
+        # what the tokenizer does on samples of every sign decides whether words and signs may be known apart
+        samples = [(w, s) for w in ("word", "\u00e9t\u00e9", "Z") for s in [*_SIGNS, *(a + b for a in _SIGNS for b in ".,$")]]
+        self.parted = all(ids(w + s) == ids(w, s) for w, s in samples)
+        self.lowers = all(ids(w) == ids(w.lower()) for w in ("Word", "WORD", "wOrD", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
 
     @classmethod
     def of(cls, path: str) -> PieceEncoder:
@@ -72,35 +80,43 @@ class PieceEncoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def _learn(self, pieces: list[str]) -> None:
-        plain = [p for p in pieces if "<|" not in p]
-        for at in range(0, len(plain), 2000):
-            part = plain[at : at + 2000]
-            found = None
-            if self.sentinel is not None:
-                ids = np.array(self.tokenizer.encode_batch_fast([_SENTINEL.join(part)], add_special_tokens=False)[0].ids, self.kind)
-                cuts = np.flatnonzero(ids == self.sentinel)
-                if len(cuts) == len(part) - 1:
-                    found = np.split(ids, cuts)
-                    found = [found[0], *(x[1:] for x in found[1:])]
-            if found is None:
-                found = [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            self.cache.update(zip(part, (x.tobytes() for x in found)))
-        odd = [p for p in pieces if "<|" in p]
-        for piece, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            self.cache[piece] = np.array(e.ids, self.kind).tobytes()
+    def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
+        # many pieces are one text, with a mark between blanks whose one id comes from nothing else
+        out: dict[str, bytes] = {}
+        plain = [p for p in pieces if "<|" not in p and _MARK not in p] if self.mark is not None else []
+        for at in range(0, len(plain), 4000):
+            part = plain[at : at + 4000]
+            ids = np.array(self.tokenizer.encode_batch_fast([f" {_MARK} ".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            cuts = np.flatnonzero(ids == self.mark)
+            if len(cuts) == len(part) - 1:
+                raw, width = ids.tobytes(), self.kind.itemsize
+                ends = (cuts * width).tolist()
+                out.update(zip(part, map(raw.__getitem__, map(slice, [0, *(e + width for e in ends)], [*ends, len(raw)]))))
+        rest = [p for p in pieces if p not in out]
+        for piece, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            out[piece] = np.array(e.ids, self.kind).tobytes()
+        return out
+
+    def _parts(self, piece: str) -> tuple[str, str]:
+        """A word in lower case and the signs behind it, where the tokenizer takes them so; else the piece and nothing."""
+        word = piece.rstrip(_SIGNS) if self.parted else piece
+        if not word.isalpha():
+            word = piece
+        return word.lower() if self.lowers and word.isascii() else word, piece[len(word) :]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as bytes of ``kind``."""
+        if len(self.cache) > CACHE_PIECES:
+            self.cache.clear()
         split = [(text or "").replace("\n", " ").split(" ") for text in texts]
+        pieces = list(dict.fromkeys(chain.from_iterable(split)))  # this batch's, in a small table
+        words, signs = zip(*map(self._parts, pieces))
         cache = self.cache
-        if len(cache) > CACHE_PIECES:
-            cache.clear()
-        missing = {p for pieces in split for p in pieces if p not in cache}
+        missing = {x for x in chain(words, signs) if x not in cache}
         if missing:
-            self._learn(list(missing))
-        get = cache.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in split]
+            cache.update(self._encoded(list(missing)))
+        found = dict(zip(pieces, map(bytes.__add__, map(cache.__getitem__, words), map(cache.__getitem__, signs))))
+        return [b"".join(map(found.__getitem__, pieces)) for pieces in split]
 
 
 class ShardWriter:
