@@ -2,7 +2,7 @@
 
 A shard is two Arrow stream files. ``ids-*.arrow`` holds the shard's token stream cut into sequences of
 ``sequence`` ids: a fixed-size list of the narrowest unsigned integers that hold the vocabulary, and a fixed-size
-list of bytes, 1 for a real id and 0 for padding (only the last sequence of a shard is padded). Every record batch but the last
+list of ``sequence / 8`` bytes whose bits, lowest first, mark real ids (only the last sequence of a shard is padded). Every record batch but the last
 has ``batch_rows`` sequences and nothing is compressed, so batch ``k`` begins at ``header + k * stride`` and a
 reader maps the file and takes sequence ``i`` and its mask in place (``SequenceFile``). ``docs-*.arrow`` lists the shard's
 documents with their first place and length in the stream.
@@ -125,7 +125,7 @@ class ShardWriter:
     def __init__(self, sink, kind: np.dtype, sequence: int, batch_rows: int) -> None:
         self.kind, self.sequence, self.batch_rows, self.sink = kind, sequence, batch_rows, sink
         value = pa.uint16() if kind.itemsize == 2 else pa.uint32()
-        self.schema = pa.schema([("ids", pa.list_(value, sequence)), ("mask", pa.list_(pa.uint8(), sequence))])
+        self.schema = pa.schema([("ids", pa.list_(value, sequence)), ("mask", pa.list_(pa.uint8(), sequence // 8))])
         self.value = value
         self.writer = pa.ipc.new_stream(sink, self.schema)
         self.header = self.schema.serialize().size  # written with the first batch
@@ -147,10 +147,8 @@ class ShardWriter:
             self.held, self.held_bytes = [rest], len(rest)
 
     def _write(self, ids: np.ndarray, valid: int | None) -> None:
-        mask = np.ones(len(ids), np.uint8)
-        if valid is not None:
-            mask[valid:] = 0
-        lists = [pa.FixedSizeListArray.from_arrays(pa.array(x, t), self.sequence) for x, t in ((ids, self.value), (mask, pa.uint8()))]
+        mask = np.packbits(np.arange(len(ids)) < (len(ids) if valid is None else valid), bitorder="little")
+        lists = [pa.FixedSizeListArray.from_arrays(pa.array(x, t), n) for x, t, n in ((ids, self.value, self.sequence), (mask, pa.uint8(), self.sequence // 8))]
         self.writer.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
         self.stride = self.stride or self.sink.tell() - self.header
 
@@ -211,6 +209,8 @@ def write_tokens(docs: DataFrame, folder: str, *, tokenizer_path: str | None = N
 
     The manifest has a row for each shard, with ``start``, the ids in all shards before it.
     """
+    if sequence % 8:
+        raise ValueError("sequence must be a multiple of 8, as masks are whole bytes")
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # Spark's estimate, without a pass
@@ -229,8 +229,13 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(shards, _MANIFEST + ", start long")
 
 
+def marked(mask: np.ndarray) -> np.ndarray:
+    """The bits of a mask as booleans, one an id."""
+    return np.unpackbits(mask, bitorder="little").view(bool)
+
+
 class SequenceFile:
-    """Random access to the sequences of one ids file by its fixed stride, without copying them."""
+    """Random access to the sequences of one ids file, and their masks, by its fixed stride, without copying them."""
 
     def __init__(self, path: str, header: int, stride: int, batch_rows: int = BATCH_ROWS) -> None:
         self.map = pa.memory_map(path)
@@ -242,8 +247,7 @@ class SequenceFile:
         batch = pa.ipc.read_record_batch(pa.ipc.read_message(self.map), self.schema)
         k = i % self.batch_rows
         n = self.schema.field("ids").type.list_size
-        ids, mask = (batch.column(c).values.slice(k * n, n) for c in (0, 1))
-        return ids.to_numpy(), mask.to_numpy().view(bool)
+        return batch.column(0).values.slice(k * n, n).to_numpy(), batch.column(1).values.slice(k * n // 8, n // 8).to_numpy()
 
 
 def _reader(batches):
@@ -261,7 +265,7 @@ def _reader(batches):
                         while n > len(held):  # a document may go on in the next batch
                             crc, n = zlib.crc32(held.tobytes(), crc), n - len(held)
                             part = next(stream)
-                            valid = part.column(1).values.to_numpy().view(bool)
+                            valid = marked(part.column(1).values.to_numpy())
                             held = part.column(0).values.to_numpy()[valid].astype("<u4")
                         crcs.append(zlib.crc32(held[:n].tobytes(), crc))
                         held = held[n:]
