@@ -165,6 +165,15 @@ def pipe_row(cells: Column) -> Column:
     return F.when(F.exists(texts, lambda c: c != ""), F.concat(F.lit("| "), F.array_join(texts, " | "), F.lit(" |")))
 
 
+def started_by(arn: Column, prefix: str = "cli/", most: int = 128) -> Column:
+    """Who started a task: the role's name up to its first hyphen if that has a dot, else whole; other signs become hyphens."""
+    role = F.regexp_extract(arn, ":assumed-role/([^/]*)", 1)
+    name = F.regexp_extract(F.when(F.contains(arn, F.lit(":assumed-role/")), role).otherwise(arn), "([^/]*)$", 1)
+    first = F.regexp_extract(name, "^[^-]*", 0)
+    who = F.when(F.contains(first, F.lit(".")), first).otherwise(name)
+    return F.substring(F.concat(F.lit(prefix), F.regexp_replace(who, "[^A-Za-z0-9_-]", "-")), 1, most)
+
+
 def clamp_wait(x: Column) -> Column:
     return F.least(F.greatest(x, F.lit(5)), F.lit(60))
 

@@ -26,11 +26,19 @@ def windows(docs: DataFrame, buffer: int = BUFFER) -> DataFrame:
 
     Windows are made in the row of their document: no shuffle.
     """
-    parts = docs.select("doc_id", sentences(F.col("text")).alias("s"))
-    rows = parts.select("doc_id", "s", F.explode(F.when(F.size("s") > 0, F.sequence(F.lit(0), F.size("s") - 1))).alias("i"))
-    begin = F.greatest(F.col("i") - buffer, F.lit(0))
-    text = F.array_join(F.slice("s", begin + 1, F.col("i") + buffer - begin + 1), " ")
-    return rows.select("doc_id", "i", text.alias("text"), F.concat_ws(":", "doc_id", "i").alias("token"))
+
+    def window(s: Column, i: Column) -> Column:
+        begin = F.greatest(i - buffer, F.lit(0))
+        return F.array_join(F.slice(s, begin + 1, i + buffer - begin + 1), " ")
+
+    rows = docs.select("doc_id", F.posexplode(_each_place(sentences(F.col("text")), F.size, window)).alias("i", "text"))
+    return rows.select("doc_id", "i", "text", F.concat_ws(":", "doc_id", "i").alias("token"))
+
+
+def _each_place(parts: Column, number, make) -> Column:
+    """The texts that ``make`` gives of all parts at places 0 to ``number`` of them; the parts are bound once and stay in their row."""
+    places = lambda s: F.when(F.size(s) > 0, F.sequence(F.lit(0), number(s) - 1))
+    return F.transform(F.array(parts), lambda s: F.transform(places(s), lambda i: make(s, i)))[0]
 
 
 def distances(vectors: DataFrame, group: str, order: str, vector: str) -> DataFrame:
@@ -90,11 +98,9 @@ def sentence_chunks(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP) -
 def fixed_chunks(docs: DataFrame, words: int = 300, overlap: float = 0.2) -> DataFrame:
     """Chunks of ``words`` words, each beginning where the one before has ``overlap`` of its words left."""
     step = words - int(words * overlap)
-    parts = docs.select("doc_id", F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("w"))
-    n = F.size("w")
-    last = F.greatest(F.ceil((n - words) / step), F.lit(0)).cast("int")
-    starts = F.when(n > 0, F.sequence(F.lit(0), last))
-    return parts.select("doc_id", "w", F.explode(starts).alias("chunk")).select("doc_id", "chunk", F.array_join(F.slice("w", F.col("chunk") * step + 1, words), " ").alias("text"))
+    parts = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    number = lambda w: F.greatest(F.ceil((F.size(w) - words) / step), F.lit(0)).cast("int") + 1
+    return docs.select("doc_id", F.posexplode(_each_place(parts, number, lambda w, i: F.array_join(F.slice(w, i * step + 1, words), " "))).alias("chunk", "text"))
 
 
 def pack_counts(n: int, max_records: int, min_records: int) -> list[int]:

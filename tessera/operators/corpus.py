@@ -199,11 +199,60 @@ def top_values(rows: DataFrame, column: str, n: int | None = None) -> DataFrame:
 
 
 def extraction_summary(status: DataFrame) -> DataFrame:
-    """total, filtered_out, skipped, processed, failed and the failed keys; the first is the sum of the next four."""
+    """total, filtered_out, skipped, processed and failed; the first is the sum of the others. ``failed_keys`` has the keys."""
     one = lambda s: F.count_if(F.col("status") == s).alias(s)
     return status.agg(F.count("*").alias("total"), *[one(s) for s in ("filtered_out", "skipped", "processed", "failed")])
 
 
+def failed_keys(status: DataFrame, key: str = "key") -> DataFrame:
+    """The keys that failed, one a row, as their number is bound by nothing."""
+    return status.where("status = 'failed'").select(key)
+
+
+#: What a document's metadata says of its way through the pipeline, which models don't see.
+BOOKKEEPING = ("key", "source_name", "content_type", "version", "extracted_at", "code_version")
+
+
+def to_documents(outputs: DataFrame) -> DataFrame:
+    """Stage outputs as documents: doc_id, text, metadata (theirs under the bookkeeping), and what models see of it."""
+    books = F.map_from_arrays(F.array(*map(F.lit, BOOKKEEPING)), F.array(*[F.col(c).cast("string") for c in BOOKKEEPING]))
+    kept = F.map_filter(F.coalesce("metadata", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))), lambda k, _: ~k.isin(*BOOKKEEPING))
+    return outputs.select(F.col("key").alias("doc_id"), "text", F.map_concat(kept, books).alias("metadata"), kept.alias("visible"))
+
+
+def filtered(refs: DataFrame, *filters) -> DataFrame:
+    """References through filters in order, each a function of references; none leaves them as they are."""
+    for one in filters:
+        refs = refs.transform(one)
+    return refs
+
+
+def folder_metadata(keys: DataFrame, bodies: DataFrame, prefix: str) -> DataFrame:
+    """key, department, alb and project by the folder below ``prefix``. ``bodies``: alb, parent."""
+    parts = F.split(F.when(F.col("key").startswith(prefix), F.substring("key", len(prefix) + 1, 1 << 30)).otherwise(F.col("key")), "/")
+    rows = keys.select("key", parts.alias("parts")).where(F.size("parts") >= 2)
+    rows = rows.select("key", F.nullif(F.col("parts")[0], F.lit("")).alias("folder"), F.nullif(F.regexp_replace(F.element_at("parts", -1), r"\.[^.]*$", ""), F.lit("")).alias("project"))
+    joined = rows.join(bodies, F.col("folder") == F.col("alb"), "left")
+    return joined.select("key", F.coalesce("parent", "folder").alias("department"), "alb", "project")
+
+
+def load_metadata(strategy: str | None, *, historic: DataFrame | None = None, export: DataFrame | None = None, keys: DataFrame | None = None, bodies: DataFrame | None = None, prefix: str = "") -> DataFrame | None:
+    """The metadata of a source by its strategy, None for a source that has none.
+
+    ``export``: an export over historic records; ``historic``: these alone, the last row of a key winning; ``folder``: by
+    the folders of the documents' keys, which must be given.
+    """
+    if strategy == "export":
+        return merge_metadata(historic, export)
+    if strategy == "historic":
+        return merge_metadata(historic, historic.limit(0))
+    if strategy == "folder":
+        if keys is None:
+            raise ValueError("the folder strategy needs the documents' keys")
+        return folder_metadata(keys, bodies, prefix)
+    return None
+
+
 def visible_metadata(metadata: Column, bookkeeping: Column, hidden: list[str]) -> Column:
     """Domain metadata overlaid by bookkeeping, as a model sees it: without the bookkeeping keys."""
     kept = F.map_filter(metadata, lambda k, _: ~F.array_contains(F.map_keys(bookkeeping), k))

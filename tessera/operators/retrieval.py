@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ class Preset:
     vectors_only: bool = False
 
 
+#: Queries that are broadcast at once.
+BLOCK = 1000
 DEFAULT = Preset()
 THROTTLED = Preset(limit=8, workers=1, top_k=3, contexts=1)
 SUPER_THROTTLED = Preset(top_k=5, vectors_only=True)
@@ -93,12 +96,18 @@ def vector_topk(vectors: DataFrame, query: list[float], k: int = 10, where: Colu
     return scored.where(F.col("score").isNotNull()).orderBy(F.desc("score"), "vec_id").limit(k)
 
 
-def search_all(vectors: DataFrame, queries: DataFrame, k: int = 10, corpus: str = "label") -> DataFrame:
+def search_all(vectors: DataFrame, queries: DataFrame, k: int = 10, corpus: str = "label", block: int = BLOCK) -> DataFrame:
     """For each query (query_id, query) and each corpus, its k nearest passages: a stated query set against all rows.
 
-    The query set must be small (it is broadcast; the caller states it). The rank filter lets Spark keep each task's
-    k best of a query and corpus before anything shuffles, so what moves is k rows a task, not all pairs.
+    Queries are counted and go in blocks of about ``block``, each of which is broadcast. The rank filter lets Spark keep
+    each task's k best of a query and corpus before anything shuffles, so what moves is k rows a task, not all pairs.
     """
+    blocks = max(1, -(-queries.count() // block))
+    part = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    return reduce(DataFrame.unionAll, [_search_block(vectors, queries.where(part == i), k, corpus) for i in range(blocks)])
+
+
+def _search_block(vectors: DataFrame, queries: DataFrame, k: int, corpus: str) -> DataFrame:
     pairs = vectors.select("vec_id", corpus, "embedding").join(F.broadcast(queries), F.lit(True))
     scored = pairs.select("query_id", corpus, "vec_id", F.round(cosine(F.col("embedding"), F.col("query")), 6).alias("score")).where("score IS NOT NULL")
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", corpus).orderBy(F.desc("score"), "vec_id")))

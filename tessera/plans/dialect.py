@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 
 class Dialect:
     def __init__(self, spark: bool) -> None:
@@ -49,15 +47,3 @@ class Dialect:
 
 
 SPARK, DUCKDB = Dialect(True), Dialect(False)
-
-
-def whole(make: Callable[[Dialect], str], subset: str) -> Callable[[Dialect], str]:
-    """The query without a predicate that leaves rows out."""
-
-    def text(x: Dialect) -> str:
-        found = make(x)
-        if found.count(subset) != 1:
-            raise ValueError(f"{make.__name__} doesn't hold {subset!r} once")
-        return found.replace(subset, "")
-
-    return text

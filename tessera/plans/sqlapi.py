@@ -52,16 +52,29 @@ def execute(spark: SparkSession, text: str, args: dict | None = None) -> DataFra
     return spark.sql(text, args=args)
 
 
-def answer(spark: SparkSession, text: str, args: dict | None = None, rows: int = DISPLAY_ROWS) -> str:
-    """The result as text for a reader: errors and empty results are messages; at most ``rows`` rows are shown."""
+def aggregates(found: DataFrame) -> bool:
+    """Whether a query's rows are groups: an aggregate under nothing but projections, filters, orders and limits."""
+    plan = found._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "Sort", "GlobalLimit", "LocalLimit", "SubqueryAlias", "WithCTE"):
+        plan = plan.children().apply(0)
+    return plan.getClass().getSimpleName() in ("Aggregate", "Distinct")
+
+
+def answer(spark: SparkSession, text: str, args: dict | None = None, rows: int = DISPLAY_ROWS, most: int = 10_000) -> str:
+    """The result as text for a reader: errors and empty results are messages.
+
+    At most ``rows`` rows are shown, or ``most`` if the query aggregates; where rows are left out, a last line says so.
+    """
     try:
         found = execute(spark, text, args)
-        shown = found.limit(rows).collect()
+        rows = most if aggregates(found) else rows
+        shown = found.limit(rows + 1).collect()
     except Exception as error:
         return f"Error: {str(error).splitlines()[0]}"
     if not shown:
         return "The query ran and returned no rows."
-    return "\n".join([" | ".join(found.columns), *(" | ".join("" if v is None else str(v) for v in row) for row in shown)])
+    lines = [" | ".join(found.columns), *(" | ".join("" if v is None else str(v) for v in row) for row in shown[:rows])]
+    return "\n".join(lines + [f"... only the first {rows} rows are shown"] * (len(shown) > rows))
 
 
 def list_tables(spark: SparkSession, databases: list[str]) -> dict[str, list[str]]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import chunks as K
+from ..operators import embedding as E
 from ..operators import topics as T
 from ..tables import load, run_sql
 
@@ -103,13 +104,12 @@ def reattach_results(spark, d):
 
 # -- topic texts, made from line items ---------------------------------------------
 
-_ALL_LINES = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s_name, p_name, CASE WHEN l_suppkey % 3 = 0 THEN 'Private Organisation' WHEN l_suppkey % 3 = 1 THEN 'Government Organisation' ELSE 'Person' END AS kind
+_LINES = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, s_name, p_name, CASE WHEN l_suppkey % 3 = 0 THEN 'Private Organisation' WHEN l_suppkey % 3 = 1 THEN 'Government Organisation' ELSE 'Person' END AS kind
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey"""
-_LINES = f"{_ALL_LINES} WHERE l_orderkey % 20 = 0"
 
 
-def _topic_texts(spark, d, lines=_LINES):
-    rows = run_sql(spark, d, lines)
+def _topic_texts(spark, d):
+    rows = run_sql(spark, d, _LINES)
     entity = F.when(F.col("l_linenumber") % 5 != 0, F.concat_ws("|", "s_name", "kind"))
     relation = F.concat_ws("|", "s_name", F.lit("SUPPLIES"), "p_name")
     parts = rows.groupBy(F.col("l_orderkey").alias("doc_id")).agg(*[F.array_join(F.sort_array(F.collect_set(x)), "\n").alias(n) for n, x in (("e", entity), ("p", F.concat_ws("|", "p_name", F.lit("Product"))), ("r", relation))])
@@ -138,24 +138,6 @@ def dangling_refs(spark, d):
     return T.dangling(T.parse_topics(_topic_texts(spark, d))).select("doc_id", "name")
 
 
-# the same over the orders that the SQL above leaves out as well
-
-
-@query()
-def parse_topics_whole(spark, d):
-    return T.parse_topics(_topic_texts(spark, d, _ALL_LINES))
-
-
-@query()
-def validate_entities_whole(spark, d):
-    return T.remap_classes(T.parse_topics(_topic_texts(spark, d, _ALL_LINES))).select("doc_id", "a", "b")
-
-
-@query()
-def dangling_refs_whole(spark, d):
-    return T.dangling(T.parse_topics(_topic_texts(spark, d, _ALL_LINES))).select("doc_id", "name")
-
-
 @query()
 def pack_jobs(spark, d):
     """Requests of one job file packed by count and bytes."""
@@ -164,7 +146,7 @@ def pack_jobs(spark, d):
     return spark.createDataFrame([(j + 1, i) for j, places in enumerate(jobs) for i in places], "job long, place long")
 
 
-@query()
+@query("SELECT vec_id AS token, CASE WHEN vec_id % 7 <> 0 THEN CAST(len(embedding) AS INTEGER) END AS dimensions, CASE WHEN vec_id % 7 = 0 THEN 'refused' END AS error FROM embeddings WHERE vec_id % 3 = 0")
 def batch_results(spark, d):
     """Batch output lines: JSON rows with either a vector or an error, joined to their requests."""
     from ..sources.batch import read_results
@@ -174,3 +156,18 @@ def batch_results(spark, d):
     )
     requests = load(spark, d, "embeddings").where("vec_id % 3 = 0").select(F.col("vec_id").cast("string").alias("record_id"), F.col("vec_id").alias("token"))
     return read_results(lines, requests).select("token", F.size("embedding").alias("dimensions"), "error")
+
+
+_STATES = "SELECT doc_id % 50 AS job, doc_id AS ord, CASE WHEN doc_id % 7 = 0 THEN 'Completed' WHEN doc_id % 7 = 1 THEN 'PartiallyCompleted' WHEN doc_id % 7 = 2 THEN 'Failed' WHEN doc_id % 7 = 3 THEN 'Expired' ELSE 'InProgress' END AS status FROM documents"
+
+
+@query(f"SELECT job, status, status <> 'InProgress' AS ended, status IN ('Completed', 'PartiallyCompleted') AS succeeded FROM (SELECT job, arg_max(status, ord) AS status FROM ({_STATES}) GROUP BY job)")
+def job_states(spark, d):
+    return E.job_states(run_sql(spark, d, _STATES))
+
+
+@query()
+def semantic_nodes(spark, d):
+    """Chunks of whole documents from their own sentences, by the offline embedder."""
+    docs = load(spark, d, "documents").select("doc_id", "text", F.create_map(F.lit("lang"), "lang").alias("metadata"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("file-"), F.col("doc_id").cast("string"))).alias("source_id"))
+    return E.semantic_nodes(docs).select("doc_id", "chunk", "text", "sentences", F.col("metadata")["lang"].alias("lang"), "source_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import corpus as C
-from ..tables import load, run_sql
+from ..tables import TABLES, load, run_sql
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -68,7 +68,7 @@ _TEXTS = ["  padded ", "nan", "NaN ", "", " ", "plain", "\ttab\n", "A & B", "The
 TEXTS = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_TEXTS)) + ", (99, NULL)) AS t(id, x)"
 _DATES = "2025|202606|2026-06|20260901|2026-09-01| 2025 |25|20251|2025-1|202613|20250230|2026-0601|202606-01|0999|1000-01-01|2025-03-01T10:15:00|2025-03-01 10:15|30-Mar-26|01 April 2025|01/03/2025|March 2025|soon|1970-01-01|01-Jan-70|1989-12-31|1990-01-01|1 May 2024|31-Feb-24".split("|")
 DATES = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_DATES)) + ", (99, NULL)) AS t(id, x)"
-_CELLS = ["case.pdf, annex.docx", "report, final.pdf,b.docx", "a.pdf,a.pdf, ,b.pdf", "tail.pdf, no extension", "nan", " ", "x,y,z", "one.pdf", "a.tar.gz,b"]
+_CELLS = ["case.pdf, annex.docx", "report, final.pdf,b.docx", "a.pdf,a.pdf, ,b.pdf", "tail.pdf, no extension", "nan", " ", "x,y,z", "one.pdf", "a.tar.gz,b", "tab.pdf\t,next.docx"]
 CELLS = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_CELLS)) + ", (99, NULL)) AS t(id, x)"
 _SUBMITTERS = ["Export_test", "00_Test", "UPLOAD FOR TESTING", "test", "Contest Ltd", "Attest", "Latest News", "Test Valley Council", "testing "]
 SUBMITTERS = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_SUBMITTERS)) + ", (99, NULL)) AS t(id, x)"
@@ -433,21 +433,12 @@ def visible_metadata(spark, d):
     return seen.select("doc_id", F.try_element_at("m", F.lit("lang")).alias("lang"), F.size("m").cast("long").alias("n"))
 
 
-@query("""SELECT DISTINCT p.department, p.name AS left_name, s.name AS right_name FROM (SELECT p_partkey % 25 AS department, p_name AS name FROM part) p JOIN (SELECT p_partkey % 25 AS department, split_part(p_name, ' ', 1) AS name FROM part WHERE p_size > 40) s
+@query("""SELECT DISTINCT p.department, p.name AS left_name, s.name AS right_name FROM (SELECT p_partkey % 25 AS department, p_name AS name FROM part) p JOIN (SELECT p_partkey % 25 AS department, split_part(p_name, ' ', 1) AS name FROM part) s
 ON p.department = s.department AND (contains(lower(p.name), lower(s.name)) OR contains(lower(s.name), lower(p.name)))""")
 def name_crosslink(spark, d):
-    return _name_crosslink(spark, d, "p_size > 40")
-
-
-@query()
-def name_crosslink_whole(spark, d):
-    return _name_crosslink(spark, d, "true")
-
-
-def _name_crosslink(spark, d, linked):
     part = load(spark, d, "part")
     left = part.select((F.col("p_partkey") % 25).alias("department"), F.col("p_name").alias("left_name")).distinct()
-    right = part.where(linked).select((F.col("p_partkey") % 25).alias("department"), F.split("p_name", " ")[0].alias("right_name")).distinct()
+    right = part.select((F.col("p_partkey") % 25).alias("department"), F.split("p_name", " ")[0].alias("right_name")).distinct()
     return C.name_crosslink(left, right)
 
 
@@ -458,20 +449,74 @@ def web_search_pages(spark, d):
     return pages.select("page_id", "url").orderBy("page_id").limit(20)
 
 
-@query()
+@query(f"SELECT 'default' AS database, unnest([{', '.join(repr(n) for n in TABLES)}]) AS name UNION ALL SELECT 'no_such_database', 'Error: no database no_such_database'")
 def list_tables(spark, d):
     from ..plans.sqlapi import list_tables as listing
-    from ..tables import TABLES
 
     for name in TABLES:
         load(spark, d, name).createOrReplaceTempView(name)
     names = listing(spark, ["default", "no_such_database"])
-    return spark.createDataFrame([(db, name) for db, found in names.items() for name in found], "database string, name string")
+    # other views of the session aren't the tables'
+    return spark.createDataFrame([(db, name) for db, found in names.items() for name in found if name in TABLES or db != "default"], "database string, name string")
 
 
-@query()
+@query("SELECT * FROM (VALUES ('l_orderkey', 'bigint'), ('l_partkey', 'bigint'), ('l_suppkey', 'bigint'), ('l_linenumber', 'int'), ('l_quantity', 'double'), ('l_extendedprice', 'double'), ('l_discount', 'double'), ('l_tax', 'double'), ('l_returnflag', 'string'), ('l_linestatus', 'string'), ('l_shipdate', 'timestamp_ntz')) AS t(name, type)")
 def table_schema(spark, d):
-    return spark.createDataFrame(load(spark, d, "lineitem").dtypes, "name string, type string")
+    from ..plans.sqlapi import table_schema as schema
+
+    load(spark, d, "lineitem").createOrReplaceTempView("lineitem")
+    return spark.createDataFrame(list(schema(spark, None, ' "lineitem" ').items()), "name string, type string")
+
+
+@query("SELECT doc_id, doc_id % 6 IN (0, 5) AS ok FROM documents")
+def sidecar_check(spark, d):
+    """Labels of six kinds, four of them out of shape, through the strict checker."""
+    from ..sources.sidecar import checked
+
+    kind = F.col("doc_id") % 6
+    fields = F.when(kind == 0, '"date": 20250101').when(kind == 1, '"date": 20250230').when(kind == 2, '"alb": ""').when(kind == 3, '"unknown": 1').when(kind == 4, '"is_latest": 1').otherwise('"is_latest": false')
+    text = F.concat(F.lit('{"metadataAttributes": {"document_type": "letter", '), fields, F.lit("}}"))
+    return checked(load(spark, d, "documents").select(F.col("doc_id").cast("string").alias("key"), text.alias("text"))).select(F.col("key").cast("long").alias("doc_id"), F.col("error").isNull().alias("ok"))
+
+
+@query(f"SELECT doc_id FROM ({_STATUS}) WHERE status = 'failed'")
+def failed_keys(spark, d):
+    return C.failed_keys(frame(spark, d, _STATUS), "doc_id")
+
+
+@query("SELECT DISTINCT source AS name FROM documents WHERE source <> ''")
+def source_names(spark, d):
+    return load(spark, d, "documents").where("source <> ''").select(F.col("source").alias("name")).distinct()
+
+
+_TASKS = "SELECT o_orderkey AS task, CASE WHEN o_orderkey % 9 <> 0 THEN o_orderdate END AS created FROM orders"
+
+
+@query(f"SELECT task, created FROM ({_TASKS}) ORDER BY created DESC NULLS LAST, task LIMIT 50")
+def newest_tasks(spark, d):
+    return frame(spark, d, _TASKS).orderBy(F.col("created").desc_nulls_last(), "task").limit(50)
+
+
+@query("SELECT o_orderkey FROM orders WHERE CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) >= 20000101")
+def date_range_filter(spark, d):
+    return load(spark, d, "orders").where(S.date_number(F.col("o_orderdate")) >= 20000101).select("o_orderkey")
+
+
+@query("SELECT doc_id, lang, CAST(8 AS BIGINT) AS n, CAST(2 AS BIGINT) AS n_visible FROM documents")
+def to_documents(spark, d):
+    docs = load(spark, d, "documents")
+    outputs = docs.select("doc_id", F.col("doc_id").cast("string").alias("key"), F.col("source").alias("source_name"), F.lit("text/plain").alias("content_type"), F.md5("text").alias("version"), "text",
+                          F.create_map(F.lit("lang"), "lang", F.lit("source"), "source", F.lit("key"), F.lit("old")).alias("metadata"), F.lit("2025-01-01").alias("extracted_at"), F.lit("v1").alias("code_version"))
+    found = C.to_documents(outputs)
+    return found.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("metadata")["lang"].alias("lang"), F.size("metadata").cast("long").alias("n"), F.size("visible").cast("long").alias("n_visible"))
+
+
+_ARNS = "SELECT * FROM (VALUES (0, 'arn:aws:sts::1:assumed-role/jane.doe-admin/session'), (1, 'arn:aws:sts::1:assumed-role/builder-role/x'), (2, 'arn:aws:iam::1:user/some.one'), (3, 'plain')) AS t(id, x)"
+
+
+@query("SELECT * FROM (VALUES (0, 'cli/jane-doe'), (1, 'cli/builder-role'), (2, 'cli/some-one'), (3, 'cli/plain')) AS t(id, y)")
+def started_by(spark, d):
+    return frame(spark, d, _ARNS).select("id", S.started_by(F.col("x")).alias("y"))
 
 
 @query()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ..operators import graph as G
@@ -86,7 +84,7 @@ def cross_source_entities(spark, d):
     return G.cross_source(load(spark, d, "lineitem").select(F.col("l_suppkey").alias("id"), F.col("l_returnflag").alias("kind")))
 
 
-_CHUNKS = "SELECT source_id AS chunk, s_id AS id, quantity AS value FROM statements WHERE source_id % 50 = 0"
+_CHUNKS = "SELECT source_id AS chunk, s_id AS id, quantity AS value FROM statements"
 
 
 @query(f"WITH c AS ({_CHUNKS}) SELECT DISTINCT x.id AS anchor, y.id AS other FROM c x JOIN c y ON x.chunk = y.chunk AND x.id <> y.id AND y.value IS NOT NULL WHERE x.id IN (3, 5, 8) ORDER BY anchor, other LIMIT 150")
@@ -95,7 +93,7 @@ def supplier_network(spark, d):
     return G.network(chunks, chunks.where(F.col("id").isin(3, 5, 8)).select("id").distinct(), 150)
 
 
-_PROGRAMMES = "SELECT source_id AS chunk, o_id AS id, quantity AS value FROM statements WHERE source_id % 50 = 0"
+_PROGRAMMES = "SELECT source_id AS chunk, o_id AS id, quantity AS value FROM statements"
 
 
 @query(f"WITH c AS ({_PROGRAMMES}) SELECT DISTINCT x.id AS anchor, y.id AS other FROM c x JOIN c y ON x.chunk = y.chunk AND x.id <> y.id AND y.value IS NOT NULL WHERE x.id % 100 = 7 ORDER BY anchor, other LIMIT 150")
@@ -104,35 +102,17 @@ def programme_network(spark, d):
     return G.network(chunks, chunks.where(F.col("id") % 100 == 7).select("id").distinct(), 150)
 
 
-# -- the same over all statements, with the anchors and the report's limit as the only bounds
-
-
-def _network(spark, d, column, anchors):
-    chunks = view(spark, d, "statements").select(F.col("source_id").alias("chunk"), F.col(column).alias("id"), F.col("quantity").alias("value"))
-    return G.network(chunks, chunks.where(anchors).select("id").distinct(), 150)
-
-
-@query()
-def supplier_network_whole(spark, d):
-    return _network(spark, d, "s_id", F.col("id").isin(3, 5, 8))
-
-
-@query()
-def programme_network_whole(spark, d):
-    return _network(spark, d, "o_id", F.col("id") % 100 == 7)
-
-
 # -- modes ----------------------------------------------------------------------
 
 _KINDS = "CASE doc_id % 4 WHEN 0 THEN 'business_case' WHEN 1 THEN 'sr_bids_2025' WHEN 2 THEN 'contract_finder' ELSE 'letter' END"
 _PASSAGES = f"""SELECT doc_id, {_KINDS} AS document_type, source AS department, CASE WHEN doc_id % 3 = 0 THEN source ELSE lang END AS department_name, lang AS alb, concat('contract ', source) AS contract_name FROM documents"""
-_ENTITY = {"metadata_filtered_business_case_department": "src3", "metadata_filtered_business_case_alb": "fr", "metadata_filtered_sr_bids_department": "src3", "metadata_filtered_sr_bids_alb": "de", "metadata_filtered_contract_finder_department": "src3", "search_by_project": "src1", "department_all_sources": "src3"}
+_ENTITY = {"metadata_filtered_business_case_department": "src4", "metadata_filtered_business_case_alb": "fr", "metadata_filtered_sr_bids_department": "src5", "metadata_filtered_sr_bids_alb": "de", "metadata_filtered_contract_finder_department": "src2", "search_by_project": "src1", "department_all_sources": "src3"}
 _WHERE = {
-    "metadata_filtered_business_case_department": "contains(document_type, 'business_case') AND department = 'src3'",
+    "metadata_filtered_business_case_department": "contains(document_type, 'business_case') AND department = 'src4'",
     "metadata_filtered_business_case_alb": "contains(document_type, 'business_case') AND alb = 'fr'",
-    "metadata_filtered_sr_bids_department": "contains(document_type, 'sr_bids_2025') AND department_name = 'src3'",
+    "metadata_filtered_sr_bids_department": "contains(document_type, 'sr_bids_2025') AND department_name = 'src5'",
     "metadata_filtered_sr_bids_alb": "contains(document_type, 'sr_bids_2025') AND alb = 'de'",
-    "metadata_filtered_contract_finder_department": "contains(document_type, 'contract_finder') AND department_name = 'src3'",
+    "metadata_filtered_contract_finder_department": "contains(document_type, 'contract_finder') AND department_name = 'src2'",
     "search_by_project": "contains(document_type, 'contract_finder') AND contains(contract_name, 'src1')",
     "department_all_sources": "department = 'src3' OR department_name = 'src3'",
     "business_case_all": "contains(document_type, 'business_case')",
@@ -173,24 +153,11 @@ def vector_topk_filtered(spark, d):
 
 
 @query(f"""SELECT query_id, label, vec_id, score, rank FROM (SELECT q.vec_id AS query_id, v.label, v.vec_id, {_COSINE} AS score, CAST(row_number() OVER (PARTITION BY q.vec_id, v.label ORDER BY {_COSINE} DESC, v.vec_id) AS INTEGER) AS rank
-FROM embeddings v, (SELECT vec_id, embedding FROM embeddings WHERE vec_id < 4) q) WHERE rank <= 10""")
+FROM embeddings v, (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 20 = 0) q) WHERE rank <= 10""")
 def kb_search_all(spark, d):
-    vectors = load(spark, d, "embeddings")
-    asked = vectors.where("vec_id < 4").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-    return R.search_all(vectors, asked, 10).select("query_id", "label", "vec_id", "score", "rank")
-
-
-ASKED = 1000  # queries of a block
-
-
-@query()
-def kb_search_whole(spark, d):
-    """Every vector whose id is divisible by 20 asked of all vectors, in blocks of about ``ASKED`` queries."""
     vectors = load(spark, d, "embeddings")
     asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-    blocks = max(1, -(-asked.count() // ASKED))
-    found = [R.search_all(vectors, asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i), 10) for i in range(blocks)]
-    return reduce(lambda a, b: a.unionAll(b), found).select("query_id", "label", "vec_id", "score", "rank")
+    return R.search_all(vectors, asked, 10).select("query_id", "label", "vec_id", "score", "rank")
 
 
 @query(f"""WITH seeds AS (SELECT v.vec_id % 100 AS id FROM embeddings v, (SELECT embedding FROM embeddings WHERE vec_id = 0) q ORDER BY {_COSINE} DESC, v.vec_id LIMIT 5),

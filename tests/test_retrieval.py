@@ -40,7 +40,10 @@ def test_execution(spark):
     assert sqlapi.execute(spark, "SELECT :d AS d", {"d": "it's"}).first()["d"] == "it's"
     assert sqlapi.answer(spark, "SELECT 1 AS a WHERE false").startswith("The query ran")
     assert sqlapi.answer(spark, "SELECT * FROM nowhere").startswith("Error")
-    assert len(sqlapi.answer(spark, "SELECT id FROM range(100)").splitlines()) == 51
+    shown = sqlapi.answer(spark, "SELECT id FROM range(100)").splitlines()
+    assert len(shown) == 52 and shown[-1] == "... only the first 50 rows are shown"
+    assert len(sqlapi.answer(spark, "SELECT id FROM range(50)").splitlines()) == 51
+    assert len(sqlapi.answer(spark, "SELECT id, count(*) AS n FROM range(100) GROUP BY id ORDER BY id").splitlines()) == 101  # groups are all shown
     assert sqlapi.list_tables(spark, ["nowhere"])["nowhere"][0].startswith("Error")
     spark.range(1).createOrReplaceTempView("seen")
     assert sqlapi.table_schema(spark, None, ' "seen" ') == {"id": "bigint"}
@@ -85,3 +88,68 @@ def test_failed_windows_stop_the_run(spark):
     rows = spark.createDataFrame([("a", None), ("b", "refused")], "token string, error string")
     with pytest.raises(PySparkException):
         K.assert_complete(rows).collect()
+
+
+def test_embedding_runs(spark):
+    from tessera.operators import embedding as E
+
+    requests = spark.range(250).selectExpr("id AS place", "concat('t', id) AS token", "concat('text ', id % 40) AS text")
+    rows = E.batch_run(requests, max_records=200).orderBy("place").collect()
+    assert [r["place"] for r in rows] == list(range(250)) and all(r["error"] is None and len(r["embedding"]) == E.DIMENSIONS for r in rows)
+    assert [sum(r["job"] == j for r in rows) for j in (1, 2)] == [125, 125] and rows[0]["embedding"] == rows[40]["embedding"] != rows[1]["embedding"]
+    with pytest.raises(ValueError):
+        E.batch_run(requests, max_records=199)
+    with pytest.raises(ValueError):
+        E.batch_run(requests.limit(99))
+
+
+def test_nodes_from_sentences(spark):
+    import numpy as np
+
+    from tessera.operators import embedding as E
+
+    text = " ".join(f"Sentence number {i} is here." for i in range(60))
+    docs = spark.createDataFrame([(1, text, {"a": "b"}, "origin"), (2, "Only one.", {}, None), (3, "", {"c": "d"}, None), (4, None, {}, "x")], "doc_id long, text string, metadata map<string,string>, source_id string")
+    got = {}
+    for r in E.semantic_nodes(docs, percentile=90).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    parts = [f"Sentence number {i} is here." for i in range(60)]
+    vectors = [np.array(E.HashEmbedder().vector(" ".join(parts[max(0, i - 3) : i + 4]))) for i in range(60)]
+    d = [round(1 - a @ b / np.linalg.norm(a) / np.linalg.norm(b), 6) for a, b in zip(vectors, vectors[1:])]
+    cuts = [0, *(i + 1 for i, x in enumerate(d) if x > np.percentile(d, 90)), 60]
+    mine = sorted(got[1], key=lambda r: r["chunk"])
+    assert [r["text"] for r in mine] == [" ".join(parts[a:b]) for a, b in zip(cuts, cuts[1:])]
+    assert all(r["metadata"] == {"a": "b"} and r["source_id"] == "origin" for r in mine)
+    assert [(r["text"], r["source_id"]) for r in got[2]] == [("Only one.", "2")] and [(r["chunk"], r["text"]) for r in got[3] + got[4]] == [(0, ""), (0, "")]
+
+    class Refusing(E.HashEmbedder):
+        def vector(self, text):
+            raise ValueError("refused")
+
+    with pytest.raises(Exception, match="failed: ValueError: refused"):
+        E.semantic_nodes(docs, Refusing).collect()
+
+
+def test_metadata_strategies(spark):
+    from tessera.operators import corpus as C
+
+    old = spark.createDataFrame([("k", 1, "A"), ("k", 2, "B"), ("z", 1, "C")], "key string, ord int, department string")
+    new = spark.createDataFrame([("k", 0, "N")], old.schema)
+    assert {r["key"]: r["department"] for r in C.load_metadata("historic", historic=old).collect()} == {"k": "B", "z": "C"}
+    assert {r["key"]: r["department"] for r in C.load_metadata("export", historic=old, export=new).collect()} == {"k": "N", "z": "C"}
+    keys = spark.createDataFrame([("p/Body/report.v1.pdf",), ("p/Other/x",), ("p/alone.pdf",)], "key string")
+    bodies = spark.createDataFrame([("Body", "Parent")], "alb string, parent string")
+    assert {tuple(r) for r in C.load_metadata("folder", keys=keys, bodies=bodies, prefix="p/").collect()} == {("p/Body/report.v1.pdf", "Parent", "Body", "report.v1"), ("p/Other/x", "Other", None, "x")}
+    with pytest.raises(ValueError):
+        C.load_metadata("folder")
+    assert C.load_metadata("unheard of") is None
+    refs = spark.range(10)
+    assert C.filtered(refs).count() == 10 and C.filtered(refs, lambda x: x.where("id > 3"), lambda x: x.where("id < 6")).count() == 2
+
+
+def test_batches_over_many_partitions(spark):
+    from tessera.operators import corpus as C
+
+    rows = spark.range(1003).selectExpr("(id * 7919) % 1003 AS k", "concat('x', id) AS other").repartition(9)
+    got = {r["k"]: r["batch"] for r in C.batches(rows, 100, ["k"]).collect()}
+    assert got == {k: k // 100 + 1 for k in range(1003)}

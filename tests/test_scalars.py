@@ -46,6 +46,7 @@ def test_names_of_files(spark):
     assert split("report, final.pdf,b.docx") == ["report, final.pdf", "b.docx"]
     assert split("a.pdf, no extension") == ["a.pdf", "no extension"]
     assert split("a.pdf, ,a.pdf") == ["a.pdf", ", a.pdf"] or split("a.pdf,a.pdf") == ["a.pdf"]
+    assert split("a.pdf\t,b.docx\n") == ["a.pdf", "b.docx"]
     assert split("nan") == split(" ") == split(None) == []
 
 

@@ -5,7 +5,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from tessera.queries import all_queries, retrieval_queries
+from tessera.operators import retrieval
+from tessera.queries import all_queries
 
 QUERIES, SQL = all_queries()
 
@@ -27,12 +28,12 @@ def test_topics_of_all_orders(spark, sf, duck):
             parsed.add((order, topic, "entity", s, kinds[supplier % 3], None))
             entities.add((order, s, classes[supplier % 3]))
     assert len({x[0] for x in lines if x[0] % 20}) > 0
-    assert rows_of(spark, sf, "parse_topics_whole") == sorted(parsed, key=repr)
-    assert rows_of(spark, sf, "validate_entities_whole") == sorted(entities, key=repr)
-    assert rows_of(spark, sf, "dangling_refs_whole") == sorted(ends - {x[:2] for x in entities}, key=repr)
+    assert rows_of(spark, sf, "parse_topics") == sorted(parsed, key=repr)
+    assert rows_of(spark, sf, "validate_entities") == sorted(entities, key=repr)
+    assert rows_of(spark, sf, "dangling_refs") == sorted(ends - {x[:2] for x in entities}, key=repr)
 
 
-@pytest.mark.parametrize("name,column,is_anchor", [("supplier_network_whole", "s_id", lambda i: i in (3, 5, 8)), ("programme_network_whole", "o_id", lambda i: i % 100 == 7)])
+@pytest.mark.parametrize("name,column,is_anchor", [("supplier_network", "s_id", lambda i: i in (3, 5, 8)), ("programme_network", "o_id", lambda i: i % 100 == 7)])
 def test_networks_of_all_statements(name, column, is_anchor, spark, sf, duck):
     key = {"s_id": "l_suppkey", "o_id": "1000000000 + l_partkey"}[column]
     chunks = defaultdict(list)
@@ -43,11 +44,11 @@ def test_networks_of_all_statements(name, column, is_anchor, spark, sf, duck):
 
 
 def test_search_of_all_queries(spark, sf, duck, monkeypatch):
-    monkeypatch.setattr(retrieval_queries, "ASKED", 4)  # block after block
+    monkeypatch.setattr(retrieval.search_all, "__defaults__", (10, "label", 4))  # block after block
     rows = duck.execute("SELECT vec_id, label, embedding FROM embeddings").fetchall()
     unit = {i: np.array(e, float) / np.linalg.norm(np.array(e, float)) for i, _, e in rows}
     got = defaultdict(list)
-    for r in QUERIES["kb_search_whole"](spark, sf).collect():
+    for r in QUERIES["kb_search_all"](spark, sf).collect():
         got[r["query_id"], r["label"]].append((r["rank"], r["vec_id"], r["score"]))
     asked = [i for i, _, _ in rows if i % 20 == 0]
     assert len(asked) > 4 and got.keys() == {(q, label) for q in asked for _, label, _ in rows}
@@ -59,21 +60,15 @@ def test_search_of_all_queries(spark, sf, duck, monkeypatch):
 
 @pytest.mark.parametrize("name,rows", [("freshness", "lineitem"), ("passthru_window_rank", "orders"), ("passthru_window_frame", "events"), ("passthru_window_lag_lead", "events"), ("passthru_window_first_last", "events")])
 def test_a_row_for_each(name, rows, spark, sf, duck):
-    assert QUERIES[f"{name}_whole"](spark, sf).count() == duck.execute(f"SELECT count(*) FROM {rows}").fetchone()[0]
+    assert QUERIES[name](spark, sf).count() == duck.execute(f"SELECT count(*) FROM {rows}").fetchone()[0]
 
 
 def test_asof_of_all_users(spark, sf, duck):
     seen = {p for p, in duck.execute("SELECT DISTINCT p.event_id FROM events p JOIN events v ON p.user_id = v.user_id AND v.ts <= p.ts AND v.event_type = 'view' WHERE p.event_type = 'purchase'").fetchall()}
-    assert {r["event_id"] for r in QUERIES["passthru_asof_whole"](spark, sf).collect()} == seen
-
-
-def test_triangulation_of_all_projects():
-    assert "project_id % 3" in SQL["triangulation"]
-    text = SQL["triangulation_whole"]
-    assert "project_id % 3" not in text and text == SQL["triangulation"].replace(" WHERE project_id % 3 = 0", "")
+    assert {r["event_id"] for r in QUERIES["passthru_asof"](spark, sf).collect()} == seen
 
 
 def test_crosslinks_of_all_parts(spark, sf, duck):
     parts = [(k % 25, name, name.split(" ")[0]) for k, name in duck.execute("SELECT p_partkey, p_name FROM part").fetchall()]
     links = {(d, name, first) for d, name, _ in parts for e, _, first in parts if d == e and (first.lower() in name.lower() or name.lower() in first.lower())}
-    assert rows_of(spark, sf, "name_crosslink_whole") == sorted(links, key=repr)
+    assert rows_of(spark, sf, "name_crosslink") == sorted(links, key=repr)
