@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..store import stored
+
 OUTPUT = "key string, source_name string, content_type string, version string, text string, chars long, metadata map<string,string>, extracted_at string, code_version string"
 _CSV = {"header": True, "inferSchema": False, "multiLine": True, "quote": '"', "escape": '"', "maxCharsPerColumn": -1}
 
@@ -97,6 +99,28 @@ def write_keyed(rows: DataFrame, folder: str, indent: int | None = 2) -> int:
     return rows.select("key", "payload").mapInArrow(_keyed(folder, indent), "key string").count()
 
 
+class MemoryWriter:
+    """Keeps (key, payload) rows under a temporary view, without files for others; the last write of a key wins.
+
+    Within one write the greatest payload of a key counts, so that reruns agree. Null keys are a key.
+    """
+
+    def __init__(self, spark: SparkSession, view: str) -> None:
+        self.spark, self.view = spark, view
+        self.rows, self.writes = empty(spark, "key string, payload string, number int"), 0
+        self._show()
+
+    def _show(self) -> None:
+        last = self.rows.groupBy("key").agg(F.max_by("payload", F.struct("number", "payload")).alias("payload"))
+        last.createOrReplaceTempView(self.view)
+
+    def write(self, rows: DataFrame) -> None:
+        self.writes += 1
+        kept, _ = stored(rows.select(F.col("key").cast("string"), F.col("payload").cast("string"), F.lit(self.writes).alias("number")), "memory")
+        self.rows = self.rows.union(kept)
+        self._show()
+
+
 def payload(rows: DataFrame, key: str = "key") -> DataFrame:
     """Rows as (key, payload) with the row as JSON; NULLs are left out."""
     return rows.select(F.col(key).alias("key"), F.to_json(F.struct(*rows.columns)).alias("payload"))

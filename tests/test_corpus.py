@@ -131,3 +131,57 @@ def test_extraction_identity(spark, sf):
 
     r = extraction_summary(spark, sf).first()
     assert r["total"] == r["filtered_out"] + r["skipped"] + r["processed"] + r["failed"]
+
+
+def test_ledger_appends_and_compacts(spark, tmp_path, monkeypatch):
+    from tessera.streaming import ledger as module
+
+    monkeypatch.setattr(module, "COMPACT", 3)
+    one, two = (Ledger(spark, f"file://{tmp_path}/ledger") for _ in range(2))
+    at = lambda day: dt.datetime(2024, 1, day)
+    rows = lambda *r: spark.createDataFrame(list(r), module.SCHEMA)
+    state = lambda x: {(r["document_key"], r["source_name"], r["code_version"]) for r in x.read().collect()}
+    one.mark(rows(("a", "s", at(9), "1", None), ("b", "t", at(1), "1", None)))
+    two.mark(rows(("a", "s", at(2), "2", None), ("a", "s", at(3), "3", "d")))  # a later mark beats a later time
+    assert state(one) == state(two) == {("a", "s", "3"), ("b", "t", "1")}
+    assert one._commit(1, "add v-x") is False and len(one._log()) == 2
+    one.mark(rows((None, None, None, None, None)))  # the third entry: written whole
+    assert [kind for _, kind, _ in one._log()] == ["add", "add", "add", "only"]
+    assert state(two) == {("a", "s", "3"), ("b", "t", "1"), (None, None, None)}
+    assert two.clear("s") == 1 and state(one) == {("b", "t", "1"), (None, None, None)}
+    assert [kind for _, kind, _ in one._log()] == ["only", "only"]  # what the last rewrite but one replaced is gone
+    assert len([x for x in tmp_path.joinpath("ledger").iterdir() if x.name.startswith("v-")]) == 2
+
+    assert one.clone(f"file://{tmp_path}/clone") == 2 and one.clone(f"file://{tmp_path}/clone") == 2
+    other = Ledger(spark, f"file://{tmp_path}/other")
+    assert other.clone(f"file://{tmp_path}/none") == 0
+    other.seed(f"file://{tmp_path}/clone")
+    assert state(other) == {("b", "t", "1"), ("", None, None)}
+
+    (tmp_path / "other/log/000000000002").write_bytes(b"\xff\x00 nonsense")
+    assert state(other) == {("b", "t", "1"), ("", None, None)}
+    for x in tmp_path.joinpath("other").glob("v-*/*.parquet"):
+        x.write_bytes(b"broken")
+        x.with_name(f".{x.name}.crc").unlink(missing_ok=True)
+    assert state(other) == set()
+    assert other.clear() == 0 and state(other) == set()
+
+
+def test_memory_writer(spark):
+    out = files.MemoryWriter(spark, "kept_in_memory")
+    assert spark.table("kept_in_memory").count() == 0
+    out.write(spark.createDataFrame([("a", "1"), ("b", "2"), (None, "0")], "key string, payload string"))
+    out.write(spark.createDataFrame([("a", "0"), ("a", "00"), ("c", None)], "key string, payload string"))
+    assert {tuple(r) for r in spark.table("kept_in_memory").collect()} == {("a", "00"), ("b", "2"), ("c", None), (None, "0")}
+
+
+def test_vocabulary(spark):
+    from tessera.operators import vocabulary as V
+
+    assert len(V.BASE) == len(set(V.BASE)) == 77
+    assert V.classes("dbr_readout")[-1] == "Readout Date" and len(V.classes("nao_report")) == 78
+    with pytest.raises(ValueError):
+        V.classes("memo")
+    rows = [(1, "nao_report", "Risk"), (2, "nao_report", "Report Name"), (3, "nao_report", "Spend ID"), (4, "business_case", "Spend ID"), (5, "memo", "Risk"), (6, None, "Risk"), (7, "nao_report", None)]
+    found = V.outside(spark.createDataFrame(rows, "id int, document_type string, class string"))
+    assert sorted(r["id"] for r in found.collect()) == [3, 5, 6, 7]
