@@ -28,6 +28,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ CACHE_PIECES = 1_500_000
 SHARD_BYTES = 256 << 20
 _UNKNOWN = 1 << 50
 END_ID = 2
-_SLICE = 512
+SLICE_BYTES = 8 << 20
 _MARK = "\x01"
 _SIGNS = ".,;:!?$%&*#+-=/()[]\""
 
@@ -164,6 +165,23 @@ class ShardWriter:
 _MANIFEST = "shard int, folder string, ids_file string, docs_file string, first_doc long, n_docs long, n_ids long, header long, stride long"
 
 
+def _slices(batches):
+    """The rows of batches in parts of about ``SLICE_BYTES`` of text, twice that and one text at most: what is encoded at once."""
+    held, size = [], 0
+    for batch in batches:
+        place = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0), np.int64)) // SLICE_BYTES
+        cuts = [0, *(np.flatnonzero(place[1:] != place[:-1]) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(cuts[:-1], cuts[1:]):
+            if end > begin:
+                held.append(batch.slice(begin, end - begin))
+                size += held[-1].nbytes
+                if size >= SLICE_BYTES:
+                    yield pa.concat_batches(held)
+                    held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _writer(folder: str, tokenizer_path: str, end_id: int | None, sequence: int, batch_rows: int):
     def write(batches):
         from pyspark import TaskContext
@@ -176,22 +194,20 @@ def _writer(folder: str, tokenizer_path: str, end_id: int | None, sequence: int,
         out = None
         n_docs, first, width = 0, None, encoder.kind.itemsize
         schema = pa.schema([("doc_id", pa.int64()), ("place", pa.int64()), ("n_tokens", pa.int64())])
-        for whole in batches:
-            for at in range(0, whole.num_rows, _SLICE):
-                batch = whole.slice(at, _SLICE)
-                if out is None:
-                    fs.create_dir(root, recursive=True)
-                    sink, docs_sink = fs.open_output_stream(f"{root}/ids-{name}"), fs.open_output_stream(f"{root}/docs-{name}")
-                    out, docs = ShardWriter(sink, encoder.kind, sequence, batch_rows), pa.ipc.new_stream(docs_sink, schema)
-                    first = batch.column(0)[0].as_py()
-                places, lengths = [], []
-                for ids in encoder.encode(batch.column(1).to_pylist()):
-                    ids += end
-                    places.append(out.n_ids)
-                    lengths.append(len(ids) // width)
-                    out.add(ids)
-                n_docs += batch.num_rows
-                docs.write_batch(pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.int64()), pa.array(lengths, pa.int64())], schema=schema))
+        for batch in _slices(batches):
+            if out is None:
+                fs.create_dir(root, recursive=True)
+                sink, docs_sink = fs.open_output_stream(f"{root}/ids-{name}"), fs.open_output_stream(f"{root}/docs-{name}")
+                out, docs = ShardWriter(sink, encoder.kind, sequence, batch_rows), pa.ipc.new_stream(docs_sink, schema)
+                first = batch.column(0)[0].as_py()
+            places, lengths = [], []
+            for ids in encoder.encode(batch.column(1).to_pylist()):
+                ids += end
+                places.append(out.n_ids)
+                lengths.append(len(ids) // width)
+                out.add(ids)
+            n_docs += batch.num_rows
+            docs.write_batch(pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.int64()), pa.array(lengths, pa.int64())], schema=schema))
         if out is not None:
             out.close()
             docs.close()

@@ -693,3 +693,12 @@ def test_pipeline_stages(spark, sf, documents):
 
 def test_folds(spark):
     assert spark.createDataFrame([(17,)], "doc_id long").select(crc32_of_id()).first()[0] == zlib.crc32(b"17")
+
+
+def test_token_slices_keep_all_rows_in_order(monkeypatch):
+    monkeypatch.setattr(token_output, "SLICE_BYTES", 40)
+    parts = [[], ["a"], [None, None], ["a" * 3, "b" * 90, "c", "", "d" * 9, None, "e" * 10], ["x"] * 5]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(len(x)), pa.int64()), pa.array(x, pa.string())], names=["d", "t"]) for x in parts]
+    found = [s.column(1).to_pylist() for s in token_output._slices(batches)]
+    assert sum(found, []) == sum(parts, []) and len(found) > 2 and all(found)
+    assert list(token_output._slices([])) == []
