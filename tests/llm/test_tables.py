@@ -81,6 +81,12 @@ def test_odd(name, spark, odd):
         assert (no_id["lang_pred"], no_id["score"], no_id["held_out"]) == ("und", 0.0, False)
     elif name == "op10_quality":
         assert 0 <= no_id["score"] <= 1 and no_id["predicted"] == int(no_id["score"] >= 0.3)
+    elif name == "op11_imatch":
+        assert len(rows) == 14 and (no_id["n_chars"], no_id["fingerprint"]) == (0, "") and one == two
+    elif name == "op12_spelling":
+        assert all(len(r["word"]) >= 7 and r["n"] >= 2 for r in rows)
+    elif name == "op13_fill_middle":
+        assert len(rows) == 14 and one == two and (no_id["n"], no_id["form"], no_id["prefix_chars"]) == (0, "plain", None)
     elif name == "pipeline":
         found = [r["doc_id"] for r in rows]
         assert found and set(found) <= {i for i, t in documents.items() if t} and max(map(found.count, found)) <= 2
