@@ -14,7 +14,9 @@ the attempt that counted, so a lost executor or a repeated task leaves no half s
 
 The tokenizer caches pieces between blanks and line ends: normalisation and pre-tokenisation of the tokenizer never
 look across such a blank, so the ids of a text are the ids of its pieces in a row. Where samples show that the tokenizer
-takes a word and the signs behind it apart, or lowers ASCII, words and signs are cached for themselves. The cache is emptied at ``CACHE_PIECES`` entries.
+takes a word and the signs behind it apart, or lowers ASCII, words and signs are cached for themselves, but only if the
+word's last letter comes before U+0100: in normal form and lower case that is one letter still. Others (a dotted capital I,
+some Hindi and Bengali letters) end in a combining mark then, which goes with the signs; their pieces are taken whole. The cache is emptied at ``CACHE_PIECES`` entries.
 
 Edge cases: a null text is an empty one, and has the end id only. Null doc_ids come first. Rows that repeat a doc_id
 stand in order of their texts. An empty table gives no shard and no row. Other columns are not read.
@@ -101,7 +103,7 @@ class PieceEncoder:
     def _parts(self, piece: str) -> tuple[str, str]:
         """A word in lower case and the signs behind it, where the tokenizer takes them so; else the piece and nothing."""
         word = piece.rstrip(_SIGNS) if self.parted else piece
-        if not word.isalpha():
+        if not word.isalpha() or word[-1] > "\u00ff":
             word = piece
         return word.lower() if self.lowers and word.isascii() else word, piece[len(word) :]
 

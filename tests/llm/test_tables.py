@@ -53,7 +53,7 @@ def test_odd(name, spark, odd):
     repeated = next(iter(documents))  # the first row, which stands there twice
     if name in ("op3_token_output", "op4_mixing", "op6_url_rules", "op7_decontaminate", "op8_near_dup", "op9_language_id", "op10_quality"):
         assert len(rows) == 14
-    if name in ("op3_token_output", "op4_mixing", "op7_decontaminate", "op8_near_dup", "op9_language_id", "op10_quality"):
+    if name in ("op3_token_output", "op4_mixing", "op7_decontaminate", "op8_near_dup", "op9_language_id", "op10_quality", "op11_imatch", "op13_fill_middle"):
         assert [r["doc_id"] for r in rows].count(None) == 1 and [r["doc_id"] for r in rows].count(repeated) == 2
         one, two = (r for r in rows if r["doc_id"] == repeated)
         assert name in ("op3_token_output", "op4_mixing") or one == two
