@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tessera.llm import fill_middle, lexicon, spelling
+from tessera.llm import fill_middle, lexicon, near_dup, spelling
 from tessera.llm.common import ship, stored
 
 EDGE = [(1, None), (2, ""), (3, " \n\t"), (4, "A."), (5, "the same words here again and again for all"), (5, "the same words here again and again for all"), (6, "word " * 30_000), (None, "no id at all"), (7, "é" * 50 + " ß 日本語 \U0001f600"), (8, "\n\nа б\r\nв"), (9, "x<P>y"), (10, "<S\n<M\n>"), (11, "日本語の文章はここで終わる")]
@@ -214,3 +214,30 @@ def test_a_document_alone_is_its_own_next(spark, tmp_path):
     docs_of(spark, [(3, "one text of a few words")]).write.parquet(f"{path}/documents.parquet")
     (row,) = lexicon.op11(spark, path).collect()
     assert row["near_next"] == 1.0 and row["edited_sha256"] == hashlib.sha256(b"one text of a fe" + b"one tex").hexdigest()
+
+
+# -- near duplicates at the threshold ------------------------------------------------
+
+
+@pytest.mark.parametrize("limit", [16, 4096])
+def test_recall_of_near_duplicates_at_the_threshold(limit, spark, monkeypatch):
+    """Pairs of similarity 0.80 to 0.87, all with a passage in common, in buckets small and large: nine of ten links at least."""
+    monkeypatch.setattr(near_dup, "LIMIT", limit)
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    passage, rows, pairs = [word() for _ in range(60)], [], []
+    for i in range(300):
+        text = [word() for _ in range(140)]
+        at = rng.randrange(140)
+        text[at:at] = passage
+        changed = list(text)
+        for j in rng.sample(range(200), rng.randint(26, 40)):
+            changed[j] = word()
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(changed))]
+        pairs.append((2 * i, 2 * i + 1))
+    docs = docs_of(spark, rows)
+    docs.write.mode("overwrite").parquet(path := f"{near_dup.stored(docs, 'near')[1]}-docs/documents.parquet")
+    classes = {r["doc_id"]: r["class_id"] for r in near_dup.op8(spark, path.removesuffix("/documents.parquet")).collect()}
+    found = [classes[a] == classes[b] for a, b in pairs]
+    assert np.mean(found) >= 0.9, np.mean(found)
+    assert len(set(classes.values())) == 600 - sum(found)  # nothing else is joined
