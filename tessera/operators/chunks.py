@@ -112,25 +112,6 @@ def pack_counts(n: int, max_records: int, min_records: int) -> list[int]:
     return sizes
 
 
-def pack_jobs(sizes: list[int], max_records: int, max_bytes: int, min_records: int) -> list[list[int]]:
-    """Positions of requests by job, in order, by count and bytes (``sizes`` with their overhead).
-
-    The inherently sequential case; requests of one job file, so the list is bounded by the caller's batch.
-    """
-    jobs: list[list[int]] = [[]]
-    held = 0
-    for i, size in enumerate(sizes):
-        if jobs[-1] and (len(jobs[-1]) == max_records or held + size > max_bytes):
-            jobs.append([])
-            held = 0
-        jobs[-1].append(i)
-        held += size
-    if len(jobs) > 1 and len(jobs[-1]) < min_records:
-        both = jobs[-2] + jobs[-1]
-        jobs[-2:] = [both[: len(both) // 2], both[len(both) // 2 :]]
-    return [j for j in jobs if j]
-
-
 def job_numbers(rows: DataFrame, order: str, max_records: int, min_records: int) -> DataFrame:
     """Requests with their job by count, from 1: window arithmetic over positions (``place``, from 0) and their number."""
     n = rows.agg(F.count("*").alias("__n"), F.lit(1).alias("__one"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import chunks as K
 from ..operators import embedding as E
+from ..operators import packing as P
 from ..operators import topics as T
 from ..tables import load, run_sql
 
@@ -138,15 +139,22 @@ def dangling_refs(spark, d):
     return T.dangling(T.parse_topics(_topic_texts(spark, d))).select("doc_id", "name")
 
 
-@query()
+_JOB = (200, 400_000, 50)  # requests, bytes, fewest requests
+
+
+@query(f"""WITH RECURSIVE r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS place, sum(strlen(text) + 64) OVER (ORDER BY doc_id) AS upto, strlen(text) + 64 AS size FROM documents),
+following AS (SELECT a.place, least(a.place + {_JOB[0]}, greatest(a.place + 1, (SELECT count(*) FROM r b WHERE b.upto <= a.upto - a.size + {_JOB[1]}))) AS next FROM r a),
+starts(place) AS (SELECT 0::BIGINT UNION ALL SELECT f.next FROM starts s JOIN following f ON f.place = s.place WHERE f.next < (SELECT count(*) FROM r)),
+numbered AS (SELECT place, row_number() OVER (ORDER BY place) AS job, lag(place) OVER (ORDER BY place) AS before FROM starts),
+tail AS (SELECT n.job, n.before, (SELECT count(*) FROM r) AS n FROM numbered n WHERE n.job = (SELECT count(*) FROM starts) AND n.job > 1 AND (SELECT count(*) FROM r) - n.place < {_JOB[2]})
+SELECT r.doc_id, r.place, coalesce((SELECT CASE WHEN r.place < t.before THEN NULL WHEN r.place < t.before + (t.n - t.before) // 2 THEN t.job - 1 ELSE t.job END FROM tail t), (SELECT max(n.job) FROM numbered n WHERE n.place <= r.place)) AS job FROM r""")
 def pack_jobs(spark, d):
-    """Requests of one job file packed by count and bytes."""
-    sizes = [r["n"] for r in load(spark, d, "benchmark").orderBy("item_id").select((F.octet_length("text") + 64).alias("n")).collect()]
-    jobs = K.pack_jobs(sizes, 15, 4000, 5)
-    return spark.createDataFrame([(j + 1, i) for j, places in enumerate(jobs) for i in places], "job long, place long")
+    """Requests, a document each, packed by count and bytes."""
+    requests = load(spark, d, "documents").select("doc_id", (F.octet_length("text") + 64).alias("bytes"))
+    return P.pack_jobs(requests, ["doc_id"], "bytes", *_JOB).select("doc_id", "place", "job")
 
 
-@query("SELECT vec_id AS token, CASE WHEN vec_id % 7 <> 0 THEN CAST(len(embedding) AS INTEGER) END AS dimensions, CASE WHEN vec_id % 7 = 0 THEN 'refused' END AS error FROM embeddings WHERE vec_id % 3 = 0")
+@query("SELECT vec_id AS token, CASE WHEN vec_id % 7 <> 0 THEN CAST(len(embedding) AS INTEGER) END AS dimensions, CASE WHEN vec_id % 7 = 0 THEN 'refused' END AS error FROM embeddings")
 def batch_results(spark, d):
     """Batch output lines: JSON rows with either a vector or an error, joined to their requests."""
     from ..sources.batch import read_results
@@ -154,7 +162,7 @@ def batch_results(spark, d):
     lines = load(spark, d, "embeddings").select(
         F.to_json(F.struct(F.col("vec_id").cast("string").alias("recordId"), F.when(F.col("vec_id") % 7 != 0, F.struct(F.col("embedding"))).alias("modelOutput"), F.when(F.col("vec_id") % 7 == 0, F.lit("refused")).alias("error"))).alias("value")
     )
-    requests = load(spark, d, "embeddings").where("vec_id % 3 = 0").select(F.col("vec_id").cast("string").alias("record_id"), F.col("vec_id").alias("token"))
+    requests = load(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("record_id"), F.col("vec_id").alias("token"))
     return read_results(lines, requests).select("token", F.size("embedding").alias("dimensions"), "error")
 
 

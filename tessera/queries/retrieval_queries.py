@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import graph as G
 from ..operators import retrieval as R
+from ..operators import search as S
+from ..operators import vector_index as I
+from ..store import scratch
 from ..tables import load, run_sql, view
 
 QUERIES: dict = {}
@@ -157,7 +160,17 @@ FROM embeddings v, (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 20 =
 def kb_search_all(spark, d):
     vectors = load(spark, d, "embeddings")
     asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-    return R.search_all(vectors, asked, 10).select("query_id", "label", "vec_id", "score", "rank")
+    return S.search_all(vectors, asked, 10).select("query_id", "label", "vec_id", "score", "rank")
+
+
+@query()
+def vector_index_search(spark, d):
+    """The ten nearest of every twentieth vector, from an index of all vectors."""
+    vectors = load(spark, d, "embeddings")
+    model, path = I.fit(vectors), scratch(spark, "index")
+    I.build(vectors, model, path)
+    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return I.search(spark, path, model, asked, 10)
 
 
 @query(f"""WITH seeds AS (SELECT v.vec_id % 100 AS id FROM embeddings v, (SELECT embedding FROM embeddings WHERE vec_id = 0) q ORDER BY {_COSINE} DESC, v.vec_id LIMIT 5),

@@ -52,15 +52,10 @@ def test_execution(spark):
 @pytest.mark.parametrize("n,most,least,expected", [(7, 3, 1, [3, 3, 1]), (120, 100, 50, [60, 60]), (320, 100, 50, [100, 100, 60, 60]), (640, 200, 100, [200, 200, 120, 120]), (5, 10, 3, [5]), (0, 10, 3, [])])
 def test_packing(spark, n, most, least, expected):
     assert K.pack_counts(n, most, least) == expected
-    assert [len(j) for j in K.pack_jobs([1] * n, most, 10**9, least)] == expected
     rows = K.job_numbers(spark.range(n).withColumnRenamed("id", "place"), "place", most, least)
     assert [r["n"] for r in rows.groupBy("job").agg(F.count("*").alias("n")).orderBy("job").collect()] == expected
 
 
-def test_packing_by_bytes():
-    assert [len(j) for j in K.pack_jobs([164] * 5, 100, 200, 1)] == [1] * 5
-
-
 def test_chunks_cover_their_text(spark):
     text = " ".join(f"Sentence number {i} is here." for i in range(50))
     docs = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "x" * 500 + ". End.")], "doc_id long, text string")

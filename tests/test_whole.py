@@ -2,10 +2,8 @@
 
 from collections import defaultdict
 
-import numpy as np
 import pytest
 
-from tessera.operators import retrieval
 from tessera.queries import all_queries
 
 QUERIES, SQL = all_queries()
@@ -43,21 +41,6 @@ def test_networks_of_all_statements(name, column, is_anchor, spark, sf, duck):
     assert rows_of(spark, sf, name) == sorted(sorted(pairs)[:150], key=repr)
 
 
-def test_search_of_all_queries(spark, sf, duck, monkeypatch):
-    monkeypatch.setattr(retrieval.search_all, "__defaults__", (10, "label", 4))  # block after block
-    rows = duck.execute("SELECT vec_id, label, embedding FROM embeddings").fetchall()
-    unit = {i: np.array(e, float) / np.linalg.norm(np.array(e, float)) for i, _, e in rows}
-    got = defaultdict(list)
-    for r in QUERIES["kb_search_all"](spark, sf).collect():
-        got[r["query_id"], r["label"]].append((r["rank"], r["vec_id"], r["score"]))
-    asked = [i for i, _, _ in rows if i % 20 == 0]
-    assert len(asked) > 4 and got.keys() == {(q, label) for q in asked for _, label, _ in rows}
-    for (q, label), found in got.items():
-        best = sorted((-round(float(unit[q] @ unit[i]), 6), i) for i, x, _ in rows if x == label)[:10]
-        assert [x[0] for x in sorted(found)] == list(range(1, len(best) + 1))
-        assert [x[2] for x in sorted(found)] == pytest.approx([-s for s, _ in best], abs=2e-6)
-
-
 @pytest.mark.parametrize("name,rows", [("freshness", "lineitem"), ("passthru_window_rank", "orders"), ("passthru_window_frame", "events"), ("passthru_window_lag_lead", "events"), ("passthru_window_first_last", "events")])
 def test_a_row_for_each(name, rows, spark, sf, duck):
     assert QUERIES[name](spark, sf).count() == duck.execute(f"SELECT count(*) FROM {rows}").fetchone()[0]
