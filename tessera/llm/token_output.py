@@ -39,11 +39,11 @@ from .common import scratch, shuffle_width, table
 
 SEQUENCE = 2048
 BATCH_ROWS = 64
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 1_000_000
 SHARD_BYTES = 256 << 20
 _UNKNOWN = 1 << 50
 END_ID = 2
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 _MARK = "\x01"
 _SIGNS = ".,;:!?$%&*#+-=/()[]\""
 
