@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..store import stored
+from .ordered import following, percentile as exact_percentile, running
 from .retrieval import cosine
 
 SIZE, OVERLAP, BUFFER, PERCENTILE = 7900, 100, 3, 97
@@ -42,25 +44,25 @@ def _each_place(parts: Column, number, make) -> Column:
 
 
 def distances(vectors: DataFrame, group: str, order: str, vector: str) -> DataFrame:
-    """1 - cosine of each vector and the next of its group; one fewer than the group has vectors."""
-    w = Window.partitionBy(group).orderBy(order)
-    following = vectors.withColumn("__next", F.lead(vector).over(w)).where("__next IS NOT NULL")
-    return following.select(group, order, F.round(1 - cosine(F.col(vector), F.col("__next")), 6).alias("distance"))
+    """1 - cosine of each vector and the next of its group; one fewer than the group has vectors. A group may be of any size."""
+    pairs = following(vectors.select(group, order, vector), [group], [order], vector, "__next")
+    return pairs.where(f"__next.{vector} IS NOT NULL").select(group, order, F.round(1 - cosine(F.col(vector), F.col("__next")[vector]), 6).alias("distance"))
 
 
 def breaks(found: DataFrame, group: str, percentile: float = PERCENTILE) -> DataFrame:
     """The distances above the group's percentile, exact and interpolated; a cut comes after each."""
-    levels = found.groupBy(group).agg(F.percentile("distance", F.lit(percentile / 100)).alias("level"))
-    return found.join(levels, group).withColumn("is_break", F.col("distance") > F.col("level"))
+    found, _ = stored(found, "distances")
+    levels = exact_percentile(found, [group], "distance", percentile / 100)
+    return found.join(levels.withColumnRenamed(group, "__group"), F.col(group).eqNullSafe(F.col("__group"))).drop("__group").withColumn("is_break", F.col("distance") > F.col("level"))
 
 
 def chunks(rows: DataFrame, cuts: DataFrame, group: str, order: str, text: str) -> DataFrame:
-    """The texts between cuts, in order. ``cuts``: group, order of the rows after which a chunk ends."""
-    ended = cuts.select(group, order, F.lit(1).alias("__cut"))
-    w = Window.partitionBy(group).orderBy(order)
-    marked = rows.join(ended, [group, order], "left").withColumn("chunk", F.coalesce(F.sum("__cut").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    """The texts between cuts, in order. ``cuts``: group, order of the rows after which a chunk ends. ``order`` numbers the rows of a group."""
+    ended = cuts.select(F.col(group).alias("__group"), F.col(order).alias("__order"), F.lit(1).cast("long").alias("__cut"))
+    marked = rows.join(ended, F.col(group).eqNullSafe(F.col("__group")) & (F.col(order) == F.col("__order")), "left").drop("__group", "__order")
+    numbered = running(marked, [group], [order], "__cut", "__cuts").withColumn("chunk", F.col("__cuts") - F.coalesce("__cut", F.lit(0)))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), " ")
-    return marked.groupBy(group, "chunk").agg(joined.alias("text"), F.count("*").alias("n"))
+    return numbered.groupBy(group, "chunk").agg(joined.alias("text"), F.count("*").alias("n"))
 
 
 def sentence_chunks(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:

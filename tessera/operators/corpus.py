@@ -259,10 +259,40 @@ def visible_metadata(metadata: Column, bookkeeping: Column, hidden: list[str]) -
     return F.map_filter(F.map_concat(kept, bookkeeping), lambda k, _: ~k.isin(hidden))
 
 
+GRAM = 3
+
+
+def _grams(name: Column, size: int) -> Column:
+    """The distinct pieces of ``size`` code points of a name; none of a shorter one."""
+    starts = F.when(F.length(name) >= size, F.sequence(F.lit(1), F.length(name) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(name, i, F.lit(size))))
+
+
+def _held(holders: DataFrame, held: DataFrame) -> DataFrame:
+    """(department, holder, piece) of names, lower-cased, where ``holder`` holds ``piece``. Both: department, name, distinct.
+
+    A name can lie only in names that have all its grams, so it is looked up by the one that fewest names of its
+    department have; names shorter than a gram by themselves, among the pieces of their length.
+    """
+    sizes = range(1, GRAM + 1)
+    own = F.when(F.length("name") >= GRAM, _grams(F.col("name"), GRAM)).otherwise(F.array("name"))
+    index = holders.select("department", F.col("name").alias("holder"), F.explode(F.flatten(F.array(*[_grams(F.col("name"), n) for n in sizes]))).alias("gram"))
+    often = index.groupBy("department", "gram").agg(F.count("*").alias("n"))
+    rarest = held.where(F.length("name") > 0).select("department", F.col("name").alias("piece"), F.explode(own).alias("gram")).join(often, ["department", "gram"]).groupBy("department", "piece").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    met = rarest.join(index, ["department", "gram"]).where(F.contains("holder", F.col("piece"))).select("department", "holder", "piece")
+    everywhere = held.where(F.length("name") == 0).select("department", F.col("name").alias("piece")).join(holders.withColumnRenamed("name", "holder"), "department")
+    return met.unionByName(everywhere)
+
+
 def name_crosslink(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs (left_name, right_name) of one department where one name holds the other, any case.
 
-    The equality on department keeps it a hash join; containment is checked within.
+    A gram that the shorter name shares with few others is its filter, so that names aren't compared with all of their
+    department; containment is checked last. An empty name lies in every name; null names and departments link to none.
     """
-    a, b = F.lower("left_name"), F.lower("right_name")
-    return left.join(right, "department").where(F.contains(a, b) | F.contains(b, a)).select("department", "left_name", "right_name").distinct()
+    sides = [x.select("department", c, F.lower(c).alias("name")).where(f"department IS NOT NULL AND {c} IS NOT NULL").distinct() for x, c in ((left, "left_name"), (right, "right_name"))]
+    names = [x.select("department", "name").distinct() for x in sides]
+    pairs = _held(names[0], names[1]).select("department", F.col("holder").alias("__a"), F.col("piece").alias("__b"))
+    pairs = pairs.union(_held(names[1], names[0]).select("department", "piece", "holder")).distinct()
+    a, b = (x.select("department", c, F.col("name").alias(k)) for x, c, k in ((sides[0], "left_name", "__a"), (sides[1], "right_name", "__b")))
+    return pairs.join(a, ["department", "__a"]).join(b, ["department", "__b"]).select("department", "left_name", "right_name")

@@ -50,18 +50,6 @@ def anti(x):
     return "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)"
 
 
-@feature
-def range_join(x):
-    return """SELECT a.event_id, count(b.event_id) AS near FROM events a LEFT JOIN events b ON a.user_id = b.user_id AND b.ts BETWEEN a.ts - INTERVAL 1 HOUR AND a.ts AND b.event_id <> a.event_id
-WHERE a.user_id < 10 GROUP BY a.event_id"""
-
-
-@feature
-def asof(x):
-    return """SELECT p.event_id, max_by(v.event_id, struct_key) AS last_view FROM events p JOIN (SELECT *, ts AS struct_key FROM events WHERE event_type = 'view') v
-ON p.user_id = v.user_id AND v.ts <= p.ts WHERE p.event_type = 'purchase' GROUP BY p.event_id"""
-
-
 @feature
 def scalar_subquery(x):
     return "SELECT p_partkey, p_retailprice FROM part WHERE p_retailprice > (SELECT avg(p_retailprice) FROM part)"
