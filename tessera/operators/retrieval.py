@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -96,3 +97,40 @@ def vector_topk(vectors: DataFrame, query: list[float], k: int = 10, where: Colu
 
 def preset_for(mode: str, **changes) -> Preset:
     return replace(mode_filter(mode, "-")[1], **changes)
+
+
+def ranked(rows: DataFrame, order: list[str], limit: int) -> DataFrame:
+    """The first ``limit`` rows in a total order, with their rank from 1. Only these reach one task."""
+    first = rows.orderBy(*order).limit(limit)
+    return first.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
+
+
+def fused(branches: dict[str, DataFrame], limit: int, k: int = 60) -> DataFrame:
+    """Reciprocal rank fusion: id, score, sources, of what several retrievers found (id, rank).
+
+    A retriever that names an id more than once counts with its best rank. ``score`` is the sum of 1 / (``k`` + rank);
+    ``sources`` names the retrievers that found it, sorted. The ``limit`` best, ties by id; null ids are left out.
+    """
+    each = [found.where("id IS NOT NULL").groupBy("id").agg(F.min("rank").alias("rank")).withColumn("source", F.lit(name)) for name, found in branches.items()]
+    every = reduce(DataFrame.unionByName, each)
+    # ranks are added in the order of their sources, so that the sum doesn't depend on the order of rows
+    parts = F.sort_array(F.collect_list(F.struct("source", "rank")))
+    out = every.groupBy("id").agg(parts.alias("p"))  # at most one entry a retriever
+    score = F.aggregate("p", F.lit(0.0), lambda s, x: s + 1 / (F.lit(float(k)) + x["rank"]))
+    return out.select("id", F.round(score, 9).alias("score"), F.array_join(F.transform("p", lambda x: x["source"]), ",").alias("sources")).orderBy(F.desc("score"), "id").limit(limit)
+
+
+def composite(hits: DataFrame, statements: DataFrame, limit: int, each: int) -> DataFrame:
+    """What three retrievers find for ranked hits, fused: statements of the hits' chunks, of the entities that the hits
+    name, and of the context of these: other entities' statements about what the entities' own are about.
+
+    ``hits``: chunk, entity, rank. ``statements``: id, chunk, s, o. At most ``each`` statements a retriever, in order of
+    the hits' ranks (the context: of ids).
+    """
+    entities = hits.groupBy(F.col("entity").alias("s")).agg(F.min("rank").alias("hit"))
+    chunks = hits.groupBy("chunk").agg(F.min("rank").alias("hit"))
+    of_chunks = ranked(statements.join(chunks, "chunk").select("id", "hit"), ["hit", "id"], each)
+    of_entities = ranked(statements.join(entities, "s").select("id", "o", "hit"), ["hit", "id"], each)
+    about = of_entities.select("o").distinct()
+    context = statements.join(about, "o", "left_semi").join(entities, "s", "left_anti").select("id").distinct()
+    return fused({"chunk": of_chunks.select("id", "rank"), "entity": of_entities.select("id", "rank"), "context": ranked(context, ["id"], each)}, limit)

@@ -173,12 +173,16 @@ def vector_index_search(spark, d):
     return I.search(spark, path, model, asked, 10)
 
 
-@query(f"""WITH seeds AS (SELECT v.vec_id % 100 AS id FROM embeddings v, (SELECT embedding FROM embeddings WHERE vec_id = 0) q ORDER BY {_COSINE} DESC, v.vec_id LIMIT 5),
-facts AS (SELECT statement_id AS fact FROM statements WHERE s_id IN (SELECT id FROM seeds) ORDER BY fact LIMIT 72)
-SELECT id FROM (SELECT fact AS id FROM facts UNION SELECT prev FROM statements WHERE statement_id IN (SELECT fact FROM facts) AND prev IS NOT NULL UNION SELECT statement_id FROM statements WHERE prev IN (SELECT fact FROM facts)) ORDER BY id LIMIT 24""")
+@query(f"""WITH hits AS (SELECT v.vec_id AS chunk, v.vec_id % 100 AS entity, row_number() OVER (ORDER BY {_COSINE} DESC, v.vec_id) AS rank FROM embeddings v, (SELECT embedding FROM embeddings WHERE vec_id = 0) q QUALIFY rank <= 10),
+entities AS (SELECT entity, min(rank) AS hit FROM hits GROUP BY entity),
+chunk_found AS (SELECT statement_id AS id, row_number() OVER (ORDER BY h.rank, statement_id) AS rank FROM statements JOIN hits h ON source_id = h.chunk QUALIFY rank <= 72),
+entity_found AS (SELECT statement_id AS id, o_id, row_number() OVER (ORDER BY hit, statement_id) AS rank FROM statements JOIN entities ON s_id = entity QUALIFY rank <= 72),
+context_found AS (SELECT id, row_number() OVER (ORDER BY id) AS rank FROM (SELECT DISTINCT statement_id AS id FROM statements WHERE o_id IN (SELECT o_id FROM entity_found) AND s_id NOT IN (SELECT entity FROM entities)) QUALIFY rank <= 72),
+found AS (SELECT id, min(rank) AS rank, source FROM (SELECT id, rank, 'chunk' AS source FROM chunk_found UNION ALL SELECT id, rank, 'entity' FROM entity_found UNION ALL SELECT id, rank, 'context' FROM context_found) GROUP BY id, source)
+SELECT id, round(sum(CAST(1 AS DOUBLE) / (60 + rank)), 9) AS score, string_agg(source, ',' ORDER BY source) AS sources FROM found GROUP BY id ORDER BY score DESC, id LIMIT 24""")
 def composite_search(spark, d):
-    """Vector hits seed entities; their facts give statements, with their neighbours."""
-    seeds = R.vector_topk(load(spark, d, "embeddings"), _query_vector(spark, d, 0), 5).select((F.col("vec_id") % 100).alias("s")).distinct()
-    statements = view(spark, d, "statements")
-    facts = statements.join(seeds, statements["s_id"] == seeds["s"], "left_semi").select(F.col("statement_id").alias("fact")).orderBy("fact").limit(3 * R.DEFAULT.limit)
-    return G.statements_of(facts, statements.select(F.col("statement_id").alias("id"), "prev"), R.DEFAULT.limit)
+    """Three retrievers over the ten vectors nearest to one: their chunks, their entities, and the entities' context."""
+    hits = R.vector_topk(load(spark, d, "embeddings"), _query_vector(spark, d, 0), R.DEFAULT.top_k)
+    hits = R.ranked(hits.withColumn("less", -F.col("score")), ["less", "vec_id"], R.DEFAULT.top_k).select(F.col("vec_id").alias("chunk"), (F.col("vec_id") % 100).alias("entity"), "rank")
+    statements = view(spark, d, "statements").select(F.col("statement_id").alias("id"), F.col("source_id").alias("chunk"), F.col("s_id").alias("s"), F.col("o_id").alias("o"))
+    return R.composite(hits, statements, R.DEFAULT.limit, 3 * R.DEFAULT.limit)

@@ -148,3 +148,22 @@ def test_batches_over_many_partitions(spark):
     rows = spark.range(1003).selectExpr("(id * 7919) % 1003 AS k", "concat('x', id) AS other").repartition(9)
     got = {r["k"]: r["batch"] for r in C.batches(rows, 100, ["k"]).collect()}
     assert got == {k: k // 100 + 1 for k in range(1003)}
+
+
+def test_fused_ranks(spark):
+    """Best rank of each retriever, sources named, ties by id, nothing found."""
+    one = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3), (None, 4)], "id string, rank long")
+    two = spark.createDataFrame([("c", 1), ("b", 1)], "id string, rank long")
+    found = [tuple(r) for r in R.fused({"x": one, "y": two}, 10).collect()]
+    assert [(i, s) for i, _, s in found] == [("b", "x,y"), ("a", "x"), ("c", "y")]
+    assert found[0][1] == pytest.approx(1 / 62 + 1 / 61, abs=1e-9)
+    assert R.fused({"x": one, "y": two}, 1).count() == 1
+    assert R.fused({"x": one.where("false"), "y": two.where("false")}, 5).count() == 0
+
+
+def test_composite_names_its_retrievers(spark):
+    hits = spark.createDataFrame([(10, 1, 1), (11, 1, 2)], "chunk long, entity long, rank long")
+    rows = [("s1", 10, 1, 7), ("s2", 12, 1, 8), ("s3", 13, 2, 7), ("s4", 13, 2, 9), ("s5", 11, 3, 9), ("s6", None, None, None)]
+    statements = spark.createDataFrame(rows, "id string, chunk long, s long, o long")
+    assert {r["id"]: r["sources"] for r in R.composite(hits, statements, 24, 72).collect()} == {"s1": "chunk,entity", "s2": "entity", "s3": "context", "s5": "chunk"}
+    assert R.composite(hits.where("false"), statements, 24, 72).count() == 0
