@@ -89,9 +89,13 @@ def pack_jobs_count(spark, d):
     return K.job_numbers(load(spark, d, "documents").select("doc_id"), "doc_id", 300, 50).select("doc_id", "job")
 
 
-@query("SELECT n, CAST(greatest(100 - n, 0) AS INTEGER) AS padding FROM (VALUES (0), (1), (99), (100), (250)) AS t(n)")
+_BATCHES = "SELECT user_id, n, CAST(greatest(100 - n, 0) AS BIGINT) AS padding FROM (SELECT user_id, count(*) AS n FROM events GROUP BY user_id) e"
+
+
+@query(_BATCHES)
 def batch_padding(spark, d):
-    return run_sql(spark, d, "SELECT n, greatest(100 - n, 0) AS padding FROM (VALUES (0), (1), (99), (100), (250)) AS t(n)")
+    """How many requests each user's batch lacks to the least that a batch service takes."""
+    return run_sql(spark, d, _BATCHES)
 
 
 _RESULTS = "SELECT doc_id % 700 AS token, doc_id AS ord, CASE WHEN doc_id % 9 <> 0 THEN n_chars END AS embedding, CASE WHEN doc_id % 9 = 0 THEN 'refused' END AS error FROM documents WHERE doc_id % 4 <> 1"

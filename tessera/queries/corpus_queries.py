@@ -66,18 +66,18 @@ def d_distinct(x: str) -> str:
 
 # -- fixtures and analogs, legal in both engines ----------------------------------
 
-_TEXTS = ["  padded ", "nan", "NaN ", "", " ", "plain", "\ttab\n", "A & B", "The  Home   Office", "Theatres Trust", "the Cabinet Office"]
-TEXTS = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_TEXTS)) + ", (99, NULL)) AS t(id, x)"
-_DATES = "2025|202606|2026-06|20260901|2026-09-01| 2025 |25|20251|2025-1|202613|20250230|2026-0601|202606-01|0999|1000-01-01|2025-03-01T10:15:00|2025-03-01 10:15|30-Mar-26|01 April 2025|01/03/2025|March 2025|soon|1970-01-01|01-Jan-70|1989-12-31|1990-01-01|1 May 2024|31-Feb-24".split("|")
-DATES = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_DATES)) + ", (99, NULL)) AS t(id, x)"
-_CELLS = ["case.pdf, annex.docx", "report, final.pdf,b.docx", "a.pdf,a.pdf, ,b.pdf", "tail.pdf, no extension", "nan", " ", "x,y,z", "one.pdf", "a.tar.gz,b", "tab.pdf\t,next.docx"]
-CELLS = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_CELLS)) + ", (99, NULL)) AS t(id, x)"
-_SUBMITTERS = ["Export_test", "00_Test", "UPLOAD FOR TESTING", "test", "Contest Ltd", "Attest", "Latest News", "Test Valley Council", "testing "]
-SUBMITTERS = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_SUBMITTERS)) + ", (99, NULL)) AS t(id, x)"
-_MONEY = ["£1,234", '"41,464,000"', "12.7", "", "n/a", "-5", "£", "7"]
-MONEY = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_MONEY)) + ", (99, NULL)) AS t(id, x)"
-_KEYS = ["files/a.pdf", "files/a.pdf.metadata.json", "files/b.JSON", "", "files/c.PDF", "files/d.metadata.JSON", "other/e.docx", "files/f.csv", "x", "files/g.html"]
-KEYS = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(_KEYS)) + ") AS t(id, x)"
+#: Whole texts and names with what surrounds them in exports: blanks, tabs, ends of lines, ``nan``, nothing.
+TEXTS = """SELECT doc_id AS id, CASE doc_id % 10 WHEN 0 THEN concat('  ', text, chr(9), chr(10)) WHEN 1 THEN concat('The  ', source) WHEN 2 THEN 'NaN ' WHEN 3 THEN ' '
+WHEN 4 THEN concat(lang, ' & ', upper(source)) WHEN 5 THEN concat('the ', lang) WHEN 6 THEN concat('Thelma ', source) ELSE text END AS x FROM documents"""
+_MONTHS = "'January,February,March,April,May,June,July,August,September,October,November,December'"
+#: Dates of orders in every form that exports have, days that some months lack among them.
+DATES = f"""SELECT id, CASE id % 17 WHEN 0 THEN y WHEN 1 THEN concat(y, m) WHEN 2 THEN concat(y, '-', m) WHEN 3 THEN concat(y, m, d) WHEN 4 THEN concat(y, '-', m, '-', d) WHEN 5 THEN concat(' ', y, ' ')
+WHEN 6 THEN concat(y, '-', m, d) WHEN 7 THEN concat(y, '-', m, '-', d, 'T10:15:00') WHEN 8 THEN concat(y, '-', m, '-', d, ' 10:15') WHEN 9 THEN concat(d, '-', substr(name, 1, 3), '-', substr(y, 3, 2))
+WHEN 10 THEN concat(d, ' ', name, ' ', y) WHEN 11 THEN concat(d, '/', m, '/', y) WHEN 12 THEN concat(name, ' ', y) WHEN 13 THEN concat(y, m, '31') WHEN 14 THEN concat('31-', substr(name, 1, 3), '-', substr(y, 3, 2)) WHEN 15 THEN concat('09', m) END AS x
+FROM (SELECT o_orderkey AS id, CAST(year(o_orderdate) AS STRING) AS y, lpad(CAST(month(o_orderdate) AS STRING), 2, '0') AS m, lpad(CAST(day(o_orderdate) AS STRING), 2, '0') AS d, split_part({_MONTHS}, ',', CAST(month(o_orderdate) AS INTEGER)) AS name FROM orders) o"""
+_WHOLE = "CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING)"
+MONEY = f"""SELECT o_orderkey AS id, CASE o_orderkey % 7 WHEN 0 THEN concat('£', CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS STRING), ',', lpad(CAST(CAST(floor(o_totalprice) AS BIGINT) % 1000 AS STRING), 3, '0'))
+WHEN 1 THEN concat('"', {_WHOLE}, '"') WHEN 2 THEN concat({_WHOLE}, '.7') WHEN 3 THEN '' WHEN 4 THEN concat('-', {_WHOLE}) WHEN 5 THEN o_orderpriority END AS x FROM orders"""
 
 
 def mangled(name: str, k: str) -> str:
@@ -115,6 +115,11 @@ _REFS = {
 }
 
 
+CELLS = {spark: f"SELECT row_no AS id, files AS x FROM ({_export(spark)})" for spark in (True, False)}
+KEYS = {spark: f"SELECT key AS id, key AS x FROM ({_bucket(spark)})" for spark in (True, False)}
+SUBMITTERS = f"SELECT id, concat(submitter, CASE id % 7 WHEN 0 THEN ' FOR TESTING' WHEN 1 THEN ' Contest' WHEN 2 THEN ' Test ' ELSE '' END) AS x FROM ({ORGS}) o"
+
+
 def frame(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return run_sql(spark, sf_dir, text)
 
@@ -182,14 +187,14 @@ def case_date(spark, d):
     return _read(spark, d).select("row_no", "raw_date", "date")
 
 
-@query(f"SELECT id, array_to_string(CASE WHEN {d_clean('x')} IS NULL THEN [] ELSE {d_distinct(d_names('x'))} END, '|') AS y FROM ({CELLS})")
+@query(f"SELECT id, array_to_string(CASE WHEN {d_clean('x')} IS NULL THEN [] ELSE {d_distinct(d_names('x'))} END, '|') AS y FROM ({CELLS[False]})")
 def file_names(spark, d):
-    return frame(spark, d, CELLS).select("id", F.array_join(S.file_names(F.col("x")), "|").alias("y"))
+    return frame(spark, d, CELLS[True]).select("id", F.array_join(S.file_names(F.col("x")), "|").alias("y"))
 
 
-@query(f"SELECT id, unnest(list_filter(list_transform(string_split(coalesce(x, ''), ','), lambda y: {d_strip('y')}), lambda y: y <> '')) AS y FROM ({CELLS})")
+@query(f"SELECT id, unnest(list_filter(list_transform(string_split(coalesce(x, ''), ','), lambda y: {d_strip('y')}), lambda y: y <> '')) AS y FROM ({CELLS[False]})")
 def explode_files(spark, d):
-    return frame(spark, d, CELLS).select("id", F.explode(S.plain_names(F.col("x"))).alias("y"))
+    return frame(spark, d, CELLS[True]).select("id", F.explode(S.plain_names(F.col("x"))).alias("y"))
 
 
 @query(f"SELECT id, CASE WHEN regexp_full_match(regexp_replace(x, '[£,\"]', '', 'g'), '-?[0-9]+') THEN CAST(regexp_replace(x, '[£,\"]', '', 'g') AS BIGINT) END AS y FROM ({MONEY})")
@@ -202,14 +207,14 @@ def format_money(spark, d):
     return load(spark, d, "orders").select("o_orderkey", S.format_money(F.col("o_totalprice")).alias("y"))
 
 
-@query(rf"SELECT id, CASE WHEN regexp_matches(lower(x), '\.pdf$') THEN 'application/pdf' WHEN regexp_matches(lower(x), '\.docx$') THEN '{S.CONTENT_TYPES['docx']}' WHEN regexp_matches(lower(x), '\.json$') THEN 'application/json' WHEN regexp_matches(lower(x), '\.csv$') THEN 'text/csv' WHEN regexp_matches(lower(x), '\.html$') THEN 'text/html' ELSE 'application/octet-stream' END AS y FROM ({KEYS})")
+@query(rf"SELECT id, CASE WHEN regexp_matches(lower(x), '\.pdf$') THEN 'application/pdf' WHEN regexp_matches(lower(x), '\.docx$') THEN '{S.CONTENT_TYPES['docx']}' WHEN regexp_matches(lower(x), '\.json$') THEN 'application/json' WHEN regexp_matches(lower(x), '\.csv$') THEN 'text/csv' WHEN regexp_matches(lower(x), '\.html$') THEN 'text/html' ELSE 'application/octet-stream' END AS y FROM (SELECT doc_id AS id, key AS x FROM ({_REFS[False]}))")
 def content_type(spark, d):
-    return frame(spark, d, KEYS).select("id", S.content_type(F.col("x")).alias("y"))
+    return refs(spark, d).select(F.col("doc_id").alias("id"), F.col("key").alias("x")).select("id", S.content_type(F.col("x")).alias("y"))
 
 
-@query(f"SELECT id, CASE WHEN x <> '' AND NOT ends_with(x, '.metadata.json') THEN x || '.metadata.json' END AS y, NOT ends_with(x, '.metadata.json') AND NOT ends_with(lower(x), '.json') AS is_document FROM ({KEYS})")
+@query(f"SELECT id, CASE WHEN x <> '' AND NOT ends_with(x, '.metadata.json') THEN x || '.metadata.json' END AS y, NOT ends_with(x, '.metadata.json') AND NOT ends_with(lower(x), '.json') AS is_document FROM ({KEYS[False]})")
 def sidecar_keys(spark, d):
-    return frame(spark, d, KEYS).select("id", S.sidecar_key(F.col("x")).alias("y"), S.is_document_key(F.col("x")).alias("is_document"))
+    return frame(spark, d, KEYS[True]).select("id", S.sidecar_key(F.col("x")).alias("y"), S.is_document_key(F.col("x")).alias("is_document"))
 
 
 @query(f"SELECT id, coalesce(nullif(regexp_replace(regexp_replace(lower(coalesce(x, '')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'cross-government') AS y FROM ({TEXTS})")
@@ -217,7 +222,13 @@ def slugify(spark, d):
     return frame(spark, d, TEXTS).select("id", S.slug(F.col("x")).alias("y"))
 
 
-_TIMES = "SELECT * FROM (VALUES (0, '2024-01-02T03:04:05'), (1, '2024-01-02'), (2, 'soon'), (3, '1704164645000'), (4, NULL)) AS t(id, x)"
+def _two(part: str) -> str:
+    return f"lpad(CAST(CAST({part}(ts) AS INTEGER) AS STRING), 2, '0')"
+
+
+_DAY = f"concat(CAST(year(ts) AS STRING), '-', {_two('month')}, '-', {_two('day')})"
+_TIMES = f"""SELECT event_id AS id, CASE event_id % 5 WHEN 0 THEN concat({_DAY}, 'T', {_two('hour')}, ':', {_two('minute')}, ':', {_two('second')}) WHEN 1 THEN {_DAY} WHEN 2 THEN event_type
+WHEN 3 THEN CAST(1704164645000 + event_id AS STRING) END AS x FROM events"""
 
 
 @query(f"SELECT id, coalesce(TRY_CAST(x AS BIGINT), epoch_ms(TRY_CAST(x AS TIMESTAMP)), -1) AS y FROM ({_TIMES})")
@@ -225,7 +236,8 @@ def iso_to_millis(spark, d):
     return frame(spark, d, _TIMES).select("id", S.iso_to_millis(F.col("x")).alias("y"))
 
 
-_ROWS = "SELECT * FROM (VALUES (0, 'a', ' b ', 'c'), (1, '', ' ', ''), (2, NULL, 'x', 'y'), (3, 'p\nq', '', 'r')) AS t(id, a, b, c)"
+_ROWS = """SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN '' WHEN 2 THEN concat(p_name, chr(10), p_type) END AS a,
+CASE p_partkey % 3 WHEN 0 THEN concat(' ', p_brand, ' ') ELSE ' ' END AS b, CASE p_partkey % 5 WHEN 0 THEN p_type WHEN 1 THEN '' END AS c FROM part"""
 
 
 @query(f"SELECT id, CASE WHEN concat(trim(coalesce(a, '')), trim(coalesce(b, '')), trim(coalesce(c, ''))) <> '' THEN '| ' || concat_ws(' | ', trim(replace(coalesce(a, ''), chr(10), ' ')), trim(replace(coalesce(b, ''), chr(10), ' ')), trim(replace(coalesce(c, ''), chr(10), ' '))) || ' |' END AS y FROM ({_ROWS})")
@@ -527,10 +539,12 @@ def to_documents(spark, d):
     return found.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("metadata")["lang"].alias("lang"), F.size("metadata").cast("long").alias("n"), F.size("visible").cast("long").alias("n_visible"))
 
 
-_ARNS = "SELECT * FROM (VALUES (0, 'arn:aws:sts::1:assumed-role/jane.doe-admin/session'), (1, 'arn:aws:sts::1:assumed-role/builder-role/x'), (2, 'arn:aws:iam::1:user/some.one'), (3, 'plain')) AS t(id, x)"
+_ARNS = """SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN concat('arn:aws:sts::1:assumed-role/', lower(c_mktsegment), '.', c_name, '-admin/session') WHEN 1 THEN concat('arn:aws:sts::1:assumed-role/', lower(c_mktsegment), '-role/x')
+WHEN 2 THEN concat('arn:aws:iam::1:user/', c_name, '.', c_mktsegment) ELSE c_name END AS x FROM customer"""
 
 
-@query("SELECT * FROM (VALUES (0, 'cli/jane-doe'), (1, 'cli/builder-role'), (2, 'cli/some-one'), (3, 'cli/plain')) AS t(id, y)")
+@query(f"""SELECT id, left('cli/' || regexp_replace(CASE WHEN contains(split_part(name, '-', 1), '.') THEN split_part(name, '-', 1) ELSE name END, '[^A-Za-z0-9_-]', '-', 'g'), 128) AS y
+FROM (SELECT id, CASE WHEN contains(x, ':assumed-role/') THEN split_part(split_part(x, ':assumed-role/', 2), '/', 1) ELSE regexp_extract(x, '[^/]*$') END AS name FROM ({_ARNS}))""")
 def started_by(spark, d):
     return frame(spark, d, _ARNS).select("id", S.started_by(F.col("x")).alias("y"))
 
