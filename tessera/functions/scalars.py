@@ -115,6 +115,13 @@ def export_date(x: Column) -> Column:
     return F.when(out >= F.lit("1990-01-01").cast("date"), out)
 
 
+def named_date(name: Column) -> Column:
+    """The date that a file's name states: eight digits at its start, or a month and a year (MMYYYY) after its last ``_``."""
+    stem = F.regexp_replace(stripped(name), r"\.[A-Za-z0-9]{1,5}$", "")
+    month = F.regexp_replace(F.regexp_extract(stem, r"_(\d{6})$", 1), r"^(\d{2})(\d{4})$", "$2$1")
+    return F.coalesce(partial_date(F.regexp_extract(stem, r"^(\d{8})(?:\D|$)", 1)), partial_date(F.nullif(month, F.lit(""))))
+
+
 def date_number(x: Column) -> Column:
     """A date as the whole number YYYYMMDD."""
     return F.date_format(x, "yyyyMMdd").cast("int")

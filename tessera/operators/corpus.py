@@ -81,6 +81,29 @@ def is_latest(rows: DataFrame, group: str, date: str, tie: str) -> DataFrame:
     return marked.withColumn("is_latest", F.struct(date, tie).eqNullSafe(F.col("newest"))).drop("newest")
 
 
+#: How the names of letters and of reports begin, and the kinds of document that they are.
+LETTER, REPORT = "Letter to ", "llm_dbr_report_"
+LETTER_KIND, REPORT_KIND = "dbr_readout", "dbr_report"
+
+
+def named_documents(keys: DataFrame, key: str) -> DataFrame:
+    """``keys`` with what their file names state: department, date, document_type, and is_latest in department and type.
+
+    ``20260901 Letter to X - ...`` and ``llm_dbr_report_x_062026``. Other names state nothing and are never the latest; nor
+    are names without a date. Of several of one date the greatest key is the latest. Departments compare by name key.
+    """
+    name = F.regexp_extract(key, r"([^/]*)$", 1)
+    stem = F.regexp_replace(name, r"\.[A-Za-z0-9]{1,5}$", "")
+    to = F.nullif(S.stripped(F.regexp_extract(stem, f"^\\d{{8}} {LETTER}(.+?) - ", 1)), F.lit(""))
+    of = F.nullif(S.stripped(F.replace(F.regexp_extract(stem, f"^{REPORT}(.+)_[^_]*$", 1), F.lit("_"), F.lit(" "))), F.lit(""))
+    kind = F.when(to.isNotNull(), LETTER_KIND).when(of.isNotNull(), REPORT_KIND)
+    rows = keys.withColumns({"department": F.coalesce(to, of), "date": S.named_date(name), "document_type": kind})
+    rows = rows.withColumn("__group", F.concat_ws("#", "document_type", S.name_key(F.col("department"))))
+    dated = F.col("date").isNotNull() & F.col("document_type").isNotNull()
+    marked = is_latest(rows.withColumn("__date", F.when(dated, F.col("date"))), "__group", "__date", key)
+    return marked.withColumn("is_latest", F.col("is_latest") & dated).drop("__group", "__date")
+
+
 # -- organisations -----------------------------------------------------------
 
 

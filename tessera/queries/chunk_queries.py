@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import chunks as K
 from ..operators import embedding as E
 from ..operators import packing as P
+from ..operators import presets as PR
 from ..operators import topics as T
 from ..tables import load, run_sql
 
@@ -183,3 +184,10 @@ def semantic_nodes(spark, d):
     """Chunks of whole documents from their own sentences, by the offline embedder."""
     docs = load(spark, d, "documents").select("doc_id", "text", F.create_map(F.lit("lang"), "lang").alias("metadata"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("file-"), F.col("doc_id").cast("string"))).alias("source_id"))
     return E.semantic_nodes(docs).select("doc_id", "chunk", "text", "sentences", F.col("metadata")["lang"].alias("lang"), "source_id")
+
+
+@query(f"""SELECT doc_id, CAST(c AS BIGINT) AS chunk, array_to_string(w[c * 135 + 1 : c * 135 + 150], ' ') AS text
+FROM (SELECT doc_id, {_W} AS w FROM documents), LATERAL (SELECT unnest(range(0, CAST(greatest(ceil((len(w) - 150) / 135.0), 0) AS BIGINT) + 1)) AS c) WHERE len(w) > 0""")
+def preset_chunks(spark, d):
+    """Chunks by a named strategy with settings of its own."""
+    return PR.cut_documents(load(spark, d, "documents"), {"strategy": "FIXED_SIZE", "max_tokens": 150, "overlap_percentage": 10}).select("doc_id", "chunk", "text")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import corpus as C
+from ..operators import patterns as PT
 from ..operators import text_search as TS
 from ..store import scratch
 from ..tables import TABLES, load, run_sql
@@ -438,6 +439,37 @@ def is_latest(spark, d):
     return C.is_latest(load(spark, d, "orders").select("o_custkey", "o_orderdate", "o_orderkey"), "o_custkey", "o_orderdate", "o_orderkey").select("o_orderkey", "is_latest")
 
 
+_NAMED = """SELECT concat('in/', CASE WHEN c_custkey % 2 = 0 THEN concat(y, m, d, ' Letter to ', n_name, ' - review ', CAST(c_custkey AS STRING), '.docx') WHEN c_custkey % 9 = 1 THEN concat('note ', n_name, '.pdf')
+ELSE concat('llm_dbr_report_', lower(n_name), '_', m, y) END) AS key, CASE WHEN c_custkey % 2 = 0 THEN n_name WHEN c_custkey % 9 <> 1 THEN replace(lower(n_name), '_', ' ') END AS department,
+CASE WHEN c_custkey % 2 = 0 THEN concat(y, '-', m, '-', d) WHEN c_custkey % 9 <> 1 THEN concat(y, '-', m, '-01') END AS date, CASE WHEN c_custkey % 2 = 0 THEN 'dbr_readout' WHEN c_custkey % 9 <> 1 THEN 'dbr_report' END AS document_type
+FROM (SELECT c_custkey, n_name, CAST(2015 + c_custkey % 11 AS STRING) AS y, lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0') AS m, lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0') AS d FROM customer JOIN nation ON c_nationkey = n_nationkey) c"""
+
+
+@query(f"""SELECT key, department, CAST(date AS DATE) AS date, document_type, document_type IS NOT NULL AND row_number() OVER (PARTITION BY document_type, lower(department) ORDER BY date DESC, key DESC) = 1 AS is_latest
+FROM (SELECT DISTINCT * FROM ({_NAMED}))""")
+def latest_by_name(spark, d):
+    """Letters and reports by their file names alone."""
+    return C.named_documents(frame(spark, d, _NAMED).select("key").distinct(), "key")
+
+
+_LIKE = """SELECT DISTINCT p_brand AS name, CASE p_partkey % 4 WHEN 0 THEN concat('%', split_part(p_name, ' ', 1), '%') WHEN 1 THEN concat('%', split_part(p_name, ' ', 2)) WHEN 2 THEN concat(substr(p_name, 1, 2), '_%', substr(p_name, 5, 2), '%') ELSE concat(split_part(p_name, ' ', 1), ' %') END AS pattern FROM part"""
+
+
+@query(f"SELECT DISTINCT p_partkey, name FROM part JOIN ({_LIKE}) ON p_name LIKE pattern")
+def like_patterns(spark, d):
+    """Parts by the patterns of every brand."""
+    return PT.like_any(load(spark, d, "part"), "p_partkey", "p_name", frame(spark, d, _LIKE), "name", "pattern")
+
+
+_OPENINGS = "SELECT item_id, concat('%', substr(text, 1, 40), '%') AS pattern FROM benchmark"
+
+
+@query(f"SELECT DISTINCT doc_id, item_id FROM documents JOIN ({_OPENINGS}) ON text LIKE pattern")
+def benchmark_mentions(spark, d):
+    """Documents that hold the opening of a benchmark item, whole texts, all items in one pass."""
+    return PT.like_any(load(spark, d, "documents"), "doc_id", "text", frame(spark, d, _OPENINGS), "item_id", "pattern")
+
+
 @query("SELECT doc_id, lang, CAST(3 AS BIGINT) AS n FROM documents")
 def visible_metadata(spark, d):
     docs = load(spark, d, "documents")

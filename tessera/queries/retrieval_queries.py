@@ -50,6 +50,17 @@ def entity_expand(spark, d):
     return G.expand(edges(spark, d), START, ENDS, CAP)
 
 
+@query(f"WITH e2 AS {_BOTH} SELECT DISTINCT id FROM (SELECT {START} AS id UNION ALL SELECT b FROM e2 WHERE a = {START} UNION ALL SELECT g.b FROM e2 f JOIN e2 g ON f.b = g.a WHERE f.a = {START}) ORDER BY id LIMIT {CAP}")
+def hub_expand(spark, d):
+    """From a supplier to any node, over stored neighbour lists."""
+    return G.Adjacency.build(edges(spark, d), scratch(spark, "adjacency"), 16).expand(START, None, CAP)
+
+
+@query(f"WITH e2 AS {_BOTH} SELECT a AS node, count(*) AS degree FROM e2 GROUP BY a")
+def node_degrees(spark, d):
+    return G.Adjacency.build(edges(spark, d), scratch(spark, "adjacency"), 16).degrees()
+
+
 _END_SUPPLIERS = [3, 11, 19]
 _S_EXPANDED = f"""SELECT DISTINCT id FROM (SELECT unnest([{START}, m, e]) AS id FROM (SELECT f.b AS m, g.b AS e FROM e2 f JOIN e2 g ON f.b = g.a WHERE f.a = {START} AND g.b IN (3, 11, 19)))"""
 _FACTS = f"""e2 AS {_BOTH}, ids AS (SELECT id FROM ({_S_EXPANDED}) ORDER BY id LIMIT {CAP}),
