@@ -16,6 +16,8 @@ from ..store import stored
 from .ordered import running
 
 BLOCK_BYTES = 4_000_000
+HELD_HITS = 100_000
+TASK_ROWS = 1_000_000
 
 
 def fixed_parts(pattern: str) -> list[str]:
@@ -39,12 +41,15 @@ def as_regex(pattern: str) -> re.Pattern:
 
 
 def _matcher(block):
+    """Per text each name (its number) once that has a pattern the text is like. ``block``: (pattern, numbers of its names)."""
+
     def match(batches):
         import ahocorasick
 
         needles: dict[str, list[int]] = {}
         checks, always = {}, []
-        for number, pattern in block.value:
+        owners = [names for _, names in block.value]
+        for number, (pattern, _) in enumerate(block.value):
             parts = fixed_parts(pattern)
             longest = max(parts, key=len, default="")
             if longest:
@@ -58,6 +63,10 @@ def _matcher(block):
             automaton.add_word(needle, numbers)
         if needles:
             automaton.make_automaton()
+
+        def hits(keys, rows, found):
+            return pa.RecordBatch.from_arrays([keys.take(pa.array(rows, pa.int64())), pa.array(found, pa.int64())], names=["key", "name_no"])
+
         for batch in batches:
             rows, found = [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
@@ -67,10 +76,16 @@ def _matcher(block):
                 if needles:
                     for _, numbers in automaton.iter(text):
                         seen.update(numbers)
-                hits = [n for n in sorted(seen) if n not in checks or checks[n].fullmatch(text)]
-                rows += [i] * len(hits)
-                found += hits
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(found, pa.int64())], names=["key", "pattern_no"])
+                mine: set[int] = set()
+                for n in seen:
+                    if not mine.issuperset(owners[n]) and (n not in checks or checks[n].fullmatch(text)):
+                        mine.update(owners[n])
+                rows += [i] * len(mine)
+                found += mine
+                if len(found) >= HELD_HITS:
+                    yield hits(batch.column(0), rows, found)
+                    rows, found = [], []
+            yield hits(batch.column(0), rows, found)
 
     return match
 
@@ -78,25 +93,30 @@ def _matcher(block):
 def like_any(rows: DataFrame, key: str, text: str, patterns: DataFrame, name: str, pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Distinct (``key``, ``name``) where the text is LIKE one of the name's patterns, as SQL's LIKE, case included.
 
-    Null texts and patterns match nothing. A block holds ``block_bytes`` of patterns and one pattern more; the texts are read
-    once a block. Rows of equal keys count as one.
+    Null texts and patterns match nothing. A block holds ``block_bytes`` of pairs of name and pattern and one pair more; the
+    texts are read once a block. Rows of equal keys count as one. A text's names are made distinct where they are found, so
+    rows are those of the result, once for each block and row of the key; they go to tasks by key, ``TASK_ROWS`` a task on
+    average, however many there are.
     """
     from ..workers import ship
 
     spark = rows.sparkSession
     ship(spark)
-    distinct = patterns.where(F.col(pattern).isNotNull()).select(F.col(pattern).alias("pattern")).distinct().withColumn("bytes", (F.octet_length("pattern") + 16).cast("long")).withColumn("all", F.lit(0))
-    sized = running(distinct, ["all"], ["pattern"], "bytes", "upto").withColumn("block", F.floor((F.col("upto") - F.col("bytes")) / block_bytes))
-    numbered, _ = stored(sized.select("pattern", "block", F.xxhash64("pattern").alias("pattern_no")), "patterns")
+    pairs = patterns.where(F.col(pattern).isNotNull()).select(F.col(name).alias("name"), F.col(pattern).alias("pattern")).distinct()
+    pairs, _ = stored(pairs.withColumn("name_no", F.xxhash64("name")), "pairs")
+    sized = pairs.select("pattern", "name_no", (F.octet_length("pattern") + 16).cast("long").alias("bytes"), F.lit(0).alias("all"))
+    numbered = running(sized, ["all"], ["pattern", "name_no"], "bytes", "upto").withColumn("block", F.floor((F.col("upto") - F.col("bytes")) / block_bytes))
+    numbered, _ = stored(numbered.select("pattern", "block", "name_no"), "patterns")
     kind = rows.schema[key].dataType.simpleString()
     asked = rows.select(F.col(key).alias("key"), F.col(text).alias("text")).where("text IS NOT NULL")
-    parts = []
+    hits = spark.createDataFrame([], f"key {kind}, name_no long")
     for (number,) in numbered.select("block").distinct().orderBy("block").collect():
-        block = spark.sparkContext.broadcast([(r.pattern_no, r.pattern) for r in numbered.where(F.col("block") == number).collect()])
-        parts.append(stored(asked.mapInArrow(_matcher(block), f"key {kind}, pattern_no long"), "hits")[0])
-        block.unpersist()
-    hits = spark.createDataFrame([], f"key {kind}, pattern_no long")
-    for part in parts:
-        hits = hits.union(part)
-    named = patterns.select(F.col(name), F.col(pattern).alias("pattern")).join(numbered, "pattern").select(name, "pattern_no")
-    return hits.join(named, "pattern_no").select(F.col("key").alias(key), name).distinct()
+        block = numbered.where(F.col("block") == number).groupBy("pattern").agg(F.collect_set("name_no").alias("names")).collect()
+        sent = spark.sparkContext.broadcast([(r.pattern, r.names) for r in block])
+        hits = hits.union(stored(asked.mapInArrow(_matcher(sent), f"key {kind}, name_no long"), "hits")[0])
+        sent.unpersist()
+    names = pairs.select("name", "name_no").distinct()
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hits.count() // TASK_ROWS))
+    # without the exchange first, each split of the small files would hold all that it unpacks to
+    found = hits.repartition(width, "key", "name_no").dropDuplicates(["key", "name_no"])
+    return found.join(names, "name_no").select(F.col("key").alias(key), F.col("name").alias(name))

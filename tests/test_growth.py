@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import inspect
-
 import numpy as np
-import pytest
-from pyspark.sql import functions as F
-
 from tessera.queries import all_queries
 
 QUERIES, SQL = all_queries()
@@ -17,3 +12,16 @@ def test_approximate_count_stays_near_at_any_size(spark, tmp_path):
     # the default sketch is off by more than a tenth on these keys
     spark.range(1, 1_200_001).selectExpr("id AS l_partkey", "'R' AS l_returnflag").write.parquet(f"{tmp_path}/lineitem.parquet")
     assert [tuple(r) for r in QUERIES["passthru_sample_approx"](spark, str(tmp_path)).collect()] == [("R", 1_200_000, True)]
+
+
+def test_pattern_names_leave_the_mapper_once(spark):
+    from tessera.operators import patterns as PT
+
+    class Block:
+        value = [("%a%", [1, 2]), ("a%", [2]), ("%", [3])]
+
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"key": pa.array([7, 8]), "text": pa.array(["abc", "x"])})
+    found = [tuple(r.values()) for b in PT._matcher(Block)([batch]) for r in b.to_pylist()]
+    assert sorted(found) == [(7, 1), (7, 2), (7, 3), (8, 3)]
