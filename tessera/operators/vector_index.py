@@ -31,6 +31,8 @@ PARTS = 16
 CODES = 256
 PROBES = 44
 CANDIDATES = 200
+AT_ONCE = 128  # queries that a task compares at once
+_NONE = -(1 << 30)
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 0) -> np.ndarray:
@@ -120,12 +122,11 @@ def search(spark: SparkSession, path: str, model: Model, queries: DataFrame, k:
         block = asked.where((F.col("place") >= begin) & (F.col("place") < begin + per_pass)).toPandas()
         unit, good = units(block["query"].to_numpy())
         ids = block["query_id"].to_numpy(np.int64)[good]
-        to_centres, to_codes = model.products(unit)
-        probed = np.argsort(-to_centres, axis=1)[:, :probes]
+        probed = np.argsort(-(unit @ model.centres.T), axis=1)[:, :probes]
         by_list = {int(c): np.flatnonzero((probed == c).any(1)) for c in np.unique(probed)}
-        sent = spark.sparkContext.broadcast((ids, unit, to_centres, to_codes, by_list))
+        sent = spark.sparkContext.broadcast((ids, unit, by_list))
         rows = spark.read.parquet(path).where(F.col("list").isin(list(by_list)))
-        found, _ = stored(rows.mapInPandas(_probe(sent, candidates), "query_id long, vec_id long, approximate double, score double"), "probed")
+        found, _ = stored(rows.mapInPandas(_probe(sent, sent_model, candidates), "query_id long, vec_id long, approximate double, score double"), "probed")
         near = found.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("approximate"), "vec_id"))).where(F.col("r") <= candidates)
         out.append(stored(near.select("query_id", "vec_id", "score"), "near")[0])
         sent.destroy()
@@ -136,20 +137,37 @@ def search(spark: SparkSession, path: str, model: Model, queries: DataFrame, k:
     return near.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
 
 
-def _probe(sent, candidates: int):
+def _probe(sent, sent_model, candidates: int):
+    """Each query's ``candidates`` best by codes of what the task reads.
+
+    ``AT_ONCE`` queries meet a piece at a time, and only their products with the code books are held: those of one query
+    take as much as a hundred vectors.
+    """
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, unit, by_list = sent.value
+        model = sent_model.value
+        approximate = np.full((len(ids), candidates), _NONE, np.int32)
+        exact, vec_id = np.zeros((len(ids), candidates), np.int32), np.zeros((len(ids), candidates), np.int64)
         for frame in pieces(frames):
-            ids, unit, to_centres, to_codes, by_list = sent.value
-            for name, part in frame.groupby("list"):
-                mine = by_list[int(name)]  # of this list's queries
+            for name, part in frame.sort_values("vec_id").groupby("list"):
                 codes = np.frombuffer(b"".join(part["code"]), np.uint8).reshape(len(part), -1)
-                near = np.repeat(to_centres[mine, int(name)][:, None], len(part), 1)
-                for j in range(codes.shape[1]):
-                    near += to_codes[mine, j][:, codes[:, j]]
-                vec_ids = part["vec_id"].to_numpy(np.int64)
-                place, at = best_of(np.rint(near * SCALE).astype(np.int64).clip(-2 * SCALE, 2 * SCALE), np.arange(len(part)), candidates)
-                x = np.stack(part["unit"].to_numpy())
-                exact = np.concatenate([np.einsum("qd,qkd->qk", unit[mine[i : i + 256]], x[at[i : i + 256]]) for i in range(0, len(mine), 256)])
-                yield pd.DataFrame({"query_id": np.repeat(ids[mine], at.shape[1]), "vec_id": vec_ids[at].ravel(), "approximate": place.ravel() / SCALE, "score": np.rint(exact * SCALE).ravel() / SCALE})
+                x, new = np.stack(part["unit"].to_numpy()), part["vec_id"].to_numpy(np.int64)
+                asked = by_list[int(name)]  # of this list's queries
+                for mine in np.array_split(asked, -(-len(asked) // AT_ONCE)):
+                    to_centre, to_codes = model.products(unit[mine])
+                    near = np.repeat(to_centre[:, int(name)][:, None], len(part), 1)
+                    for j in range(codes.shape[1]):
+                        near += to_codes[:, j][:, codes[:, j]]
+                    place, at = best_of(np.rint(near * SCALE).astype(np.int64).clip(-2 * SCALE, 2 * SCALE), np.arange(len(part)), candidates)
+                    scores = np.rint(np.einsum("qd,qkd->qk", unit[mine], x[at]) * SCALE)
+                    both = [np.concatenate(pair, 1) for pair in ((approximate[mine], place.astype(np.int32)), (exact[mine], scores.astype(np.int32)), (vec_id[mine], new[at]))]
+                    order = np.lexsort((both[2], -both[0]), axis=1)[:, :candidates]
+                    approximate[mine], exact[mine], vec_id[mine] = (np.take_along_axis(b, order, 1) for b in both)
+        for begin in range(0, len(ids), AT_ONCE):
+            some = slice(begin, begin + AT_ONCE)
+            row, column = np.nonzero(approximate[some] > _NONE)
+            take = lambda x: x[some][row, column]
+            yield pd.DataFrame({"query_id": ids[some][row], "vec_id": take(vec_id), "approximate": take(approximate) / SCALE, "score": take(exact) / SCALE})
 
     return run

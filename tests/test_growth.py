@@ -25,3 +25,34 @@ def test_pattern_names_leave_the_mapper_once(spark):
     batch = pa.RecordBatch.from_pydict({"key": pa.array([7, 8]), "text": pa.array(["abc", "x"])})
     found = [tuple(r.values()) for b in PT._matcher(Block)([batch]) for r in b.to_pylist()]
     assert sorted(found) == [(7, 1), (7, 2), (7, 3), (8, 3)]
+
+
+def test_probing_holds_little_however_many_queries(monkeypatch):
+    import tracemalloc
+
+    import pandas as pd
+
+    from tessera.operators import vector_index as V
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(2048, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    model = V.Model(x[:400], 4, 8, 32)
+    lists, codes = model.encode(x)
+    frame = pd.DataFrame({"vec_id": np.arange(len(x)), "code": [c.tobytes() for c in codes], "unit": list(x), "list": lists})
+    n, made = 3000, 0
+    asked = rng.normal(size=(n, 32))
+
+    class Queries:
+        value = (np.arange(n), asked, {i: np.arange(n) for i in range(4)})
+
+    class Sent:
+        value = model
+
+    tracemalloc.start()
+    for part in V._probe(Queries, Sent, 20)(iter([frame])):
+        made += len(part)
+        assert part.groupby("query_id").size().max() == 20
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made == 20 * n and peak < 16_000_000  # one row for each of a task's best, not for each piece; a products' table for all queries alone is 200 MB
