@@ -56,6 +56,42 @@ def breaks(found: DataFrame, group: str, percentile: float = PERCENTILE) -> Data
     return found.join(levels.withColumnRenamed(group, "__group"), F.col(group).eqNullSafe(F.col("__group"))).drop("__group").withColumn("is_break", F.col("distance") > F.col("level"))
 
 
+def cuts_of(vectors: str, percentile: float = PERCENTILE) -> Column:
+    """Of an array of vectors the places (from 0) after which to cut: where the distance to the next is above the array's percentile."""
+    pair = lambda v: lambda i: F.round(1 - cosine(v[i], v[i + 1]), 6)
+    places = lambda v: F.when(F.size(v) > 1, F.sequence(F.lit(0), F.size(v) - 2)).otherwise(F.array().cast("array<int>"))
+
+    def level(d: Column) -> Column:
+        return _bound(F.array_sort(F.filter(d, lambda x: x.isNotNull())), lambda s: _bound(F.lit(percentile / 100) * (F.size(s) - 1), lambda at: F.get(s, F.floor(at).cast("int")) + (F.get(s, F.ceil(at).cast("int")) - F.get(s, F.floor(at).cast("int"))) * (at - F.floor(at))))
+
+    def above(d: Column) -> Column:
+        return _bound(level(d), lambda bar: F.filter(F.transform(d, lambda x, i: F.when(x > bar, i)), lambda i: i.isNotNull()))
+
+    return _bound(F.col(vectors), lambda v: _bound(F.transform(places(v), pair(v)), above))
+
+
+def parts_between(parts: str, cuts: Column) -> Column:
+    """The chunks (text, n) of an array of texts, cut after the places; one empty chunk of none."""
+    n = F.coalesce(F.size(parts), F.lit(0))
+    n = F.greatest(n, F.lit(0))
+    ends = F.concat(cuts, F.array(n - 1))
+
+    def chunk(e: Column):
+        def make(end: Column, k: Column) -> Column:
+            begin = F.when(k == 0, F.lit(0)).otherwise(F.get(e, k - 1) + 1)
+            text = F.when(end < begin, F.lit("")).otherwise(F.array_join(F.slice(F.col(parts), begin + 1, F.greatest(end - begin + 1, F.lit(0))), " "))
+            return F.struct(text.alias("text"), F.greatest(end - begin + 1, F.lit(0)).alias("n"))
+
+        return make
+
+    return _bound(ends, lambda e: F.transform(e, chunk(e)))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, as the one element of an array."""
+    return F.transform(F.array(value), use)[0]
+
+
 def chunks(rows: DataFrame, cuts: DataFrame, group: str, order: str, text: str) -> DataFrame:
     """The texts between cuts, in order. ``cuts``: group, order of the rows after which a chunk ends. ``order`` numbers the rows of a group."""
     ended = cuts.select(F.col(group).alias("__group"), F.col(order).alias("__order"), F.lit(1).cast("long").alias("__cut"))

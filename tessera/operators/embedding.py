@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import chunks as K
 
@@ -18,6 +19,7 @@ SUCCESS = ("Completed", "PartiallyCompleted")
 MIN_BATCH = 100
 MAX_RECORDS = 50_000
 DIMENSIONS = 16
+DOCUMENTS_AT_ONCE = 64
 
 
 def job_states(events: DataFrame) -> DataFrame:
@@ -76,17 +78,44 @@ def batch_run(requests: DataFrame, make: Callable[[], Callable] = HashEmbedder,
     return K.job_numbers(requests.select("place"), "place", max_records, min_records).join(attached, "place")
 
 
+def _window_vectors(docs: DataFrame, sentences: str, buffer: int, make: Callable[[], Callable]) -> DataFrame:
+    """``docs`` with ``vectors``, one for each sentence with ``buffer`` sentences on either side, and ``error``, the first there was."""
+    from ..workers import ship
+
+    ship(docs.sparkSession)
+    at = docs.columns.index(sentences)
+
+    def embed(batches):
+        embedder = make()
+        for whole in batches:
+            for begin in range(0, whole.num_rows, DOCUMENTS_AT_ONCE):
+                batch = whole.slice(begin, DOCUMENTS_AT_ONCE)
+                vectors, errors = [], []
+                for s in batch.column(at).to_pylist():
+                    vectors.append([])
+                    errors.append(None)
+                    try:
+                        for i in range(len(s or ())):
+                            vectors[-1].append(embedder([" ".join(s[max(0, i - buffer) : i + buffer + 1])])[0])
+                            if vectors[-1][-1] is None:
+                                raise ValueError("no vector")
+                    except Exception as error:
+                        errors[-1] = f"{type(error).__name__}: {error}"[:300]
+                made = [pa.array(vectors, pa.list_(pa.list_(pa.float64()))), pa.array(errors, pa.string())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, "vectors", "error"])
+
+    return docs.mapInArrow(embed, StructType([*docs.schema.fields, *StructType.fromDDL("vectors array<array<double>>, error string").fields]))
+
+
 def semantic_nodes(docs: DataFrame, make: Callable[[], Callable] = HashEmbedder, *, buffer: int = K.BUFFER, percentile: float = K.PERCENTILE) -> DataFrame:
     """Chunks of documents (doc_id, text, metadata, source_id): sentences, windows, vectors, distances, cuts.
 
     A window without a vector stops the run. A document without sentences is one empty chunk. A chunk has the metadata
-    of its document, and its source: the document's, or the document itself if it has none.
+    of its document, and its source: the document's, or the document itself if it has none. All that a document's cuts
+    depend on is in its row, so nothing shuffles: vectors, distances and cuts stay in the row, and chunks are exploded from it.
     """
-    windows = K.windows(docs, buffer)
-    vectors = vectors_of(windows, make)
-    joined = K.assert_complete(windows.select("doc_id", "i", "token").join(vectors, "token", "left").withColumn("error", F.when(F.col("embedding").isNull(), F.coalesce("error", F.lit("no vector")))))
-    complete = joined.where("error IS NULL")  # reads the column, so that a failed window raises
-    cuts = K.breaks(K.distances(complete, "doc_id", "i", "embedding"), "doc_id", percentile).where("is_break")
-    found = K.chunks(K.sentence_rows(docs), cuts, "doc_id", "i", "sentence")
-    out = docs.select("doc_id", "metadata", F.coalesce("source_id", F.col("doc_id").cast("string")).alias("source_id")).join(found, "doc_id", "left")
-    return out.select("doc_id", F.coalesce("chunk", F.lit(0)).cast("long").alias("chunk"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("n", F.lit(0)).cast("long").alias("sentences"), "metadata", "source_id")
+    rows = docs.select("doc_id", "metadata", F.coalesce("source_id", F.col("doc_id").cast("string")).alias("source_id"), K.sentences(F.col("text")).alias("parts"))
+    rows = _window_vectors(rows, "parts", buffer, make)
+    rows = rows.withColumn("error", F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("failed: "), F.col("error"))).cast("string"))).where("error IS NULL")
+    out = rows.select("doc_id", F.posexplode(K.parts_between("parts", K.cuts_of("vectors", percentile))).alias("chunk", "x"), "metadata", "source_id")
+    return out.select("doc_id", F.col("chunk").cast("long").alias("chunk"), "x.text", F.col("x.n").cast("long").alias("sentences"), "metadata", "source_id")

@@ -56,3 +56,8 @@ def test_probing_holds_little_however_many_queries(monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert made == 20 * n and peak < 16_000_000  # one row for each of a task's best, not for each piece; a products' table for all queries alone is 200 MB
+
+
+def test_semantic_nodes_do_not_shuffle(spark, sf):
+    plan = QUERIES["semantic_nodes"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
