@@ -13,7 +13,7 @@ are equal in it, any may come first.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,17 +77,26 @@ def following(rows: DataFrame, keys: list[str], order: list[str], value: str, na
 
 
 def percentile(rows: DataFrame, keys: list[str], value: str, share: float, name: str = "level") -> DataFrame:
-    """Keys and the exact percentile (``share`` from 0 to 1, interpolated) of each group's values that aren't null.
+    """Keys and the exact percentile (``share`` from 0 to 1, interpolated) of each group's values that aren't null."""
+    return percentiles(rows, keys, value, {name: share})
 
-    Equal values are counted first; running counts over ranges of the values then find the two ranks around it.
+
+def percentiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Keys and exact percentiles (each name's share from 0 to 1, interpolated) of each group's values that aren't null.
+
+    Equal values are counted first; running counts over ranges of the values then find the two ranks around each share.
     """
     counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
     ranked = running(counted, keys, [value], "__n", "__upto")
     sizes = counted.groupBy(*keys).agg(F.sum("__n").alias("__size")).select(*[F.col(k).alias(f"__key_{k}") for k in keys], "__size")
-    both = ranked.join(sizes, reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])).withColumn("__at", F.lit(share) * (F.col("__size") - 1))
+    both = ranked.join(sizes, reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys]))
     holds = lambda rank: (F.col("__upto") - F.col("__n") < rank) & (rank <= F.col("__upto"))
-    ends = both.where(holds(F.floor("__at") + 1) | holds(F.ceil("__at") + 1)).groupBy(*keys, "__at").agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
-    return ends.select(*keys, (F.col("__low") + (F.col("__high") - F.col("__low")) * (F.col("__at") - F.floor("__at"))).alias(name))
+    at = {name: F.lit(share) * (F.col("__size") - 1) for name, share in shares.items()}
+    near = {name: holds(F.floor(x) + 1) | holds(F.ceil(x) + 1) for name, x in at.items()}
+    values = [f(F.when(near[name], F.col(value))).alias(f"__{end}_{name}") for name in shares for end, f in (("low", F.min), ("high", F.max))]
+    ends = both.where(reduce(or_, near.values())).groupBy(*keys, "__size").agg(*values)
+    between = lambda name: F.col(f"__low_{name}") + (F.col(f"__high_{name}") - F.col(f"__low_{name}")) * (at[name] - F.floor(at[name]))
+    return ends.select(*keys, *[between(name).alias(name) for name in shares])
 
 
 def asof(left: DataFrame, right: DataFrame, by: list[str], on: str, take: str, ties: list[str], name: str) -> DataFrame:

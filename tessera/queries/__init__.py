@@ -20,7 +20,7 @@ def _sql_query(make) -> Query:
 
 def all_queries() -> tuple[dict[str, Query], dict[str, str]]:
     """Name to query, and name to SQL."""
-    from . import chunk_queries, corpus_queries, retrieval_queries, stream_queries, time_queries
+    from . import chunk_queries, corpus_queries, ordered_queries, retrieval_queries, stream_queries, time_queries
 
     found: dict[str, Query] = {}
     sql: dict[str, str] = {}
@@ -28,7 +28,7 @@ def all_queries() -> tuple[dict[str, Query], dict[str, str]]:
         for name, make in group.items():
             found[name] = _sql_query(make)
             sql[name] = with_views(make(DUCKDB), DUCKDB)
-    for module in (corpus_queries, chunk_queries, retrieval_queries, stream_queries, time_queries):
+    for module in (corpus_queries, chunk_queries, ordered_queries, retrieval_queries, stream_queries, time_queries):
         found |= module.QUERIES
         sql |= {name: with_views(text, DUCKDB) for name, text in module.SQL.items()}
     return found, sql

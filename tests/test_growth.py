@@ -61,3 +61,21 @@ def test_probing_holds_little_however_many_queries(monkeypatch):
 def test_semantic_nodes_do_not_shuffle(spark, sf):
     plan = QUERIES["semantic_nodes"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_ranks_and_percentiles_of_few_groups_are_dealt_by_ranges(spark, tmp_path):
+    rows = [(i, status, None if i % 50 == 0 else float(i * 37 % 1000), ["1-A", "2-B", None][i % 3]) for i, status in enumerate("FFFFO" * 80)] + [(1000, "P", 5.0, "1-A")]
+    frame = spark.createDataFrame(rows, "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderpriority string")
+    frame.write.parquet(f"{tmp_path}/orders.parquet")
+    frame.selectExpr("o_orderstatus AS l_returnflag", "o_totalprice AS l_extendedprice").write.parquet(f"{tmp_path}/lineitem.parquet")
+    import duckdb
+
+    duck = duckdb.connect()
+    for name in ("orders", "lineitem"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    from .compare import check
+
+    for name in ("passthru_window_rank", "passthru_percentile"):
+        check(spark, str(tmp_path), duck, QUERIES[name], SQL[name])
+        plan = QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+        assert "ntile(" not in plan and "percentile(" not in plan
