@@ -28,8 +28,9 @@ Plan, without pairs within a group:
    the first small bucket that it shares.
 5. Texts of larger buckets that hold several components (texts with a passage in common, say) are sketched anew by twice
    as many k-mers (and, from the second time on, twice as many sketches), which parts them, and go through steps 2 to 4 again; each of ``TIERS``
-   tiers at most. What shares the last tier's 16 k-mers in order and doesn't align is compared in blocks of ``LIMIT``
-   texts, so that nothing is left out; only that work grows with the square of such a bucket.
+   tiers at most, which joins most of what belongs together. Texts of a large bucket that are of several components even
+   then are compared across them, in blocks of ``LIMIT`` texts of like length, so that no pair that shares a bucket is left
+   out, whatever it shares in later tiers; only that work grows with the square of such a bucket.
 6. Links (never collected) are joined to components: those to leaders are trees, whose nodes find their roots by
    pointer jumping; later links join such components by alternating large-star and small-star steps, each written to the
    shared folder.
@@ -603,16 +604,29 @@ def _links(texts: DataFrame, keyed: DataFrame, links: DataFrame | None, labels:
     small = members.where(F.col("size") <= LIMIT).drop("size")
     new = _joined(_by_bucket(small).mapInArrow(_askers(least), small.schema), source, least, keep)
     links, labels = links.union(new), merged(labels, new, keep)
-    apart = mixed.where(F.col("size") > LIMIT).select("node").distinct()
+    hot = mixed.where(F.col("size") > LIMIT)
+    apart = hot.select("node").distinct()
     if not any_large or apart.isEmpty():
         return links, labels
-    if tier + 1 == tiers:
-        new = _joined(_cut_up(members.where(F.col("size") > LIMIT)), keep(_texts_of(apart, keyed), "sources"), least, keep)
-        return links.union(new), merged(labels, new, keep)
-    again = _texts_of(apart, keyed).join(apart, "node", "left_semi")
-    rows = again.select("node.id", "h1", "h2", "text").mapInArrow(_sketcher(tier + 1), _SKETCHED)
-    rows = keep(rows.select(F.struct(F.col("doc_id").alias("id"), F.col("h1").alias("h")).alias("node"), "n", "bag", "sketches"), "texts")
-    return _links(rows, keyed, links, labels, tier + 1, least, tiers, keep)
+    if tier + 1 < tiers:  # joins most of what belongs together; what it doesn't find is compared below
+        again = _texts_of(apart, keyed).join(apart, "node", "left_semi")
+        rows = again.select("node.id", "h1", "h2", "text").mapInArrow(_sketcher(tier + 1), _SKETCHED)
+        rows = keep(rows.select(F.struct(F.col("doc_id").alias("id"), F.col("h1").alias("h")).alias("node"), "n", "bag", "sketches"), "texts")
+        links, labels = _links(rows, keyed, links, labels, tier + 1, least, tiers, keep)
+    of_node = labels.select(F.col("node").alias("of"), F.col("label").alias("now"))
+    marked = hot.join(of_node, F.col("node") == F.col("of"), "left").select("node", "band", "value", F.coalesce("now", "node").alias("label"))
+    still = keep(marked.groupBy("band", "value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("band", "value"), "still")
+    marked = keep(marked.join(still, ["band", "value"]), "hot")
+    if marked.isEmpty():
+        return links, labels
+    early = marked.groupBy("node", "label").agg(F.collect_list(F.struct("band", "value")).alias("hot"))  # at most one entry a sketch
+    members = within.select("less", "node", "n", "bag", places).join(early, "node").select("less", "node", "n", "bag", F.col("label.id").alias("label_id"), F.col("label.h").alias("label_h"), "places", "hot", F.explode("hot").alias("e"))
+    cut = _cut_up(members.select("e.band", "e.value", *[c for c in members.columns if c != "e"]), least, _tier(tier)[1] + SHORT_SKETCHES, keep)
+    asked = keep(_by_bucket(cut).mapInArrow(_askers(least), cut.schema), "asked")
+    if asked.isEmpty():
+        return links, labels
+    new = _joined(asked, keep(_texts_of(asked.select("node").distinct(), keyed), "sources"), least, keep)
+    return links.union(new), merged(labels, new, keep)
 
 
 def _joined(rows: DataFrame, source: DataFrame, least: float, keep) -> DataFrame:
@@ -621,13 +635,38 @@ def _joined(rows: DataFrame, source: DataFrame, least: float, keep) -> DataFrame
     return keep(_by_bucket(with_text).mapInArrow(_joiner(least), f"a {_NODE}, b {_NODE}, similarity double"), "joined")
 
 
-def _cut_up(apart: DataFrame) -> DataFrame:
-    """Buckets of any size as small ones: cut into parts of about half ``LIMIT``, each two of which are a bucket with a value of its own."""
-    parts = F.ceil(2 * F.col("size") / LIMIT).cast("int")
-    rows = apart.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    value = F.xxhash64("band", "value", F.least("part", "other"), F.greatest("part", "other"))
-    # these buckets are nobody's first, so places say nothing about them
-    return rows.withColumn("value", value).withColumn("places", F.slice("places", 1, 0)).drop("size", "part", "other")
+def _cut_up(rows: DataFrame, least: float, bands: int, keep) -> DataFrame:
+    """Buckets of any size as small ones: parts of about half ``LIMIT`` texts of like length, each two of which are a bucket.
+
+    Lengths that ``least`` lets pair are of one class or of neighbouring ones, and only these meet. A pair is left to a small
+    bucket that it shares, or else to the first large one (``hot``: bands and values; they follow the small ones' ``bands``), and
+    pairs within a part to the bucket of this part alone.
+    """
+    width = 1.001 * max(float(np.log(1 / least)), 0.01)
+    rows = keep(rows.withColumn("level", F.floor(F.log(F.col("n").cast("double")) / width).cast("int")), "levels")
+    counts = keep(rows.groupBy("band", "value", "level").agg(F.ceil(2 * F.count("*") / LIMIT).cast("int").alias("parts")), "parts")
+    for name, step in (("own", 0), ("above", 1), ("below", -1)):
+        there = counts.select("band", "value", (F.col("level") - step).alias("level"), F.col("parts").alias(name))
+        rows = rows.join(there, ["band", "value", "level"], "left")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), "own").cast("int"))
+
+    def of(low, low_part, high, high_part):
+        return F.struct(low.alias("low"), low_part.alias("low_part"), high.alias("high"), high_part.alias("high_part"))
+
+    level, part = F.col("level"), F.col("part")
+    each = lambda name: F.when(F.col(name) > 0, F.sequence(F.lit(0), F.col(name) - 1)).otherwise(F.array().cast("array<int>"))
+    pairs = F.concat(
+        F.transform(each("own"), lambda o: of(level, F.least(part, o), level, F.greatest(part, o))),
+        F.transform(each("above"), lambda o: of(level, part, level + 1, o)),
+        F.transform(each("below"), lambda o: of(level - 1, o, level, part)),
+    )
+    rows = rows.withColumn("pair", F.explode(pairs))
+    apart = (F.col("pair.low") != F.col("pair.high")) | (F.col("pair.low_part") != F.col("pair.high_part"))
+    place = lambda band, value: F.struct((band + bands).cast("int").alias("band"), value.alias("value"))
+    earlier = F.transform(F.filter("hot", lambda x: x["band"] < F.col("band")), lambda x: place(x["band"], x["value"]))
+    places = F.concat("places", earlier, F.array(place(F.col("band"), F.xxhash64("level", "part")))).alias("places")
+    value = F.xxhash64("band", "value", "pair.low", "pair.low_part", "pair.high", "pair.high_part").alias("value")
+    return rows.select((F.col("band") + bands + apart.cast("int")).cast("int").alias("band"), value, "less", "node", "n", "bag", "label_id", "label_h", places)
 
 
 def classes(docs: DataFrame, *, least: float = SIMILARITY, tiers: int = TIERS) -> DataFrame:

@@ -79,3 +79,27 @@ def test_ranks_and_percentiles_of_few_groups_are_dealt_by_ranges(spark, tmp_path
         check(spark, str(tmp_path), duck, QUERIES[name], SQL[name])
         plan = QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
         assert "ntile(" not in plan and "percentile(" not in plan
+
+
+def test_pairs_of_a_large_bucket_that_later_tiers_part_are_compared(spark, monkeypatch):
+    import random
+
+    from tessera.llm import near_dup
+    from tessera.llm.common import ship
+
+    monkeypatch.setattr(near_dup, "LIMIT", 8)
+    ship(spark)
+    deal = random.Random(3)
+    word = lambda: f"w{deal.randrange(10**9)}"
+    passage, docs = [word() for _ in range(60)], []
+    for i in range(20):
+        rest = [word() for _ in range(240 - 40 * (i % 3))]
+        # every fifth word differs, so that the pair shares no shingle but the passage's, as all texts do
+        docs += [(2 * i, " ".join(passage + rest)), (2 * i + 1, " ".join(passage + [word() if j % 5 == 4 else w for j, w in enumerate(rest)]))]
+    rows = near_dup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    found = {r["doc_id"]: r["class_id"] for r in rows}
+    codes = {i: near_dup.word_codes(t) for i, t in docs}
+    sketches = {i: set(enumerate(near_dup.sketches_of(c))) for i, c in codes.items()}
+    meant = [i for i in range(0, 40, 2) if sketches[i] & sketches[i + 1]]
+    assert len(meant) >= 15 and all(near_dup.similarity(codes[i].tolist(), codes[i + 1].tolist()) >= 0.8 for i in meant)
+    assert [found[i + 1] for i in meant] == meant and all(found[i] == i for i in range(0, 40, 2))
