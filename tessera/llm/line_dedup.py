@@ -38,6 +38,12 @@ MIN_WORDS = 8
 MAX_LEVELS = 40
 
 
+def _joined(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join by shuffle, whatever the files' size: rows of whole numbers pack so well that a few MB of Parquet, which Spark
+    would collect in the driver and broadcast, unpack to a large part of its memory. Merges still split hot keys."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _unique(docs: DataFrame) -> DataFrame:
     """Without rows equal in id and text; those are only looked for by key."""
     keys = docs.select("doc_id", F.xxhash64("text").alias("h"))
@@ -61,7 +67,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     rows = rows.select("d", "h", "i", "p", F.xxhash64("line").alias("a"), F.hash("line").alias("b"), F.regexp_count("line", F.lit("[^ \t]+")).alias("w"))
     rows, path = stored(rows, "lines")
     ids, ids_path = stored(rows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").orderBy("a", "b").select("a", "b", (F.monotonically_increasing_id() + 1).alias("r")), "line-ids")
-    out, _ = stored(rows.join(ids, ["a", "b"]).select("d", "h", "i", "p", "w", "r"), "repeated")
+    out, _ = stored(_joined(rows, ids, ["a", "b"]).select("d", "h", "i", "p", "w", "r"), "repeated")
     drop_path(docs.sparkSession, path)
     drop_path(docs.sparkSession, ids_path)
     return out
@@ -78,11 +84,11 @@ def levels(lines: DataFrame, drop_resolved: bool = True) -> list[DataFrame]:
     for k in range(MAX_LEVELS):
         step = 1 << k
         after = active.select("d", "h", (F.col("i") - step).alias("i"), F.col("r").alias("r2"))
-        pairs = active.join(after, ["d", "h", "i"], "left").select("d", "h", "i", "r", F.coalesce("r2", F.lit(0).cast("long")).alias("r2"))
+        pairs = _joined(active, after, ["d", "h", "i"], "left").select("d", "h", "i", "r", F.coalesce("r2", F.lit(0).cast("long")).alias("r2"))
         pairs, pairs_path = stored(pairs, "pairs")
         ranks, ranks_path = stored(pairs.groupBy("r", "r2").agg(F.count("*").alias("n")).orderBy("r", "r2").select("r", "r2", "n", (F.monotonically_increasing_id() + 1).alias("rank")), "ranks")
         go_on = (F.col("n") > 1) & (F.col("r2") > 0)
-        ranked, _ = stored(pairs.join(ranks, ["r", "r2"]).select("d", "h", "i", F.col("rank").alias("r"), go_on.alias("repeats")), "level")
+        ranked, _ = stored(_joined(pairs, ranks, ["r", "r2"]).select("d", "h", "i", F.col("rank").alias("r"), go_on.alias("repeats")), "level")
         drop_path(lines.sparkSession, pairs_path)
         drop_path(lines.sparkSession, ranks_path)
         active = ranked.where("repeats").drop("repeats")
@@ -127,16 +133,16 @@ def copies(lines: DataFrame, kept: list[DataFrame], min_lines: int, min_words: i
         if k >= len(kept):
             break
         level = kept[k].select("d", "h", "i", "r")
-        part = needs.where(F.col("n") == n).join(level, ["d", "h", "i"])
+        part = _joined(needs.where(F.col("n") == n), level, ["d", "h", "i"])
         if n == 1 << k:
             part = part.withColumn("r2", F.lit(0).cast("long"))
         else:
-            part = part.join(level.select("d", "h", (F.col("i") - (n - (1 << k))).alias("i"), F.col("r").alias("r2")), ["d", "h", "i"])
+            part = _joined(part, level.select("d", "h", (F.col("i") - (n - (1 << k))).alias("i"), F.col("r").alias("r2")), ["d", "h", "i"])
         part = part.select("d", "h", "i", "n", "r", "r2")
         named = part if named is None else named.union(part)
     named, named_path = stored(named, "named")
     first, first_path = stored(named.groupBy("n", "r", "r2").agg(F.min(F.struct("d", "h", "i")).alias("q"), F.count("*").alias("c")).where("c > 1").drop("c"), "first")
-    later = named.join(first, ["n", "r", "r2"]).where(F.struct("d", "h", "i") != F.col("q"))
+    later = _joined(named, first, ["n", "r", "r2"]).where(F.struct("d", "h", "i") != F.col("q"))
     out, _ = stored(later.groupBy("d", "h", "i").agg(F.max(F.struct("n", "q")).alias("x")).select("d", "h", "i", "x.q"), "copies")
     for path in (needs_path, named_path, first_path):
         drop_path(lines.sparkSession, path)
@@ -154,7 +160,8 @@ def maximal_runs(lines: DataFrame, *, min_lines: int = MIN_LINES, min_words: int
     for k in reversed(range(len(kept))):
         mine = kept[k].select("d", "h", F.col("i").alias("at"), F.col("r").alias("mine"))
         theirs = kept[k].select(F.col("d").alias("qd"), F.col("h").alias("qh"), F.col("i").alias("q_at"), F.col("r").alias("theirs"))
-        both = run.withColumn("at", F.col("i") + F.col("run")).withColumn("q_at", F.col("qi") + F.col("run")).join(mine, ["d", "h", "at"], "left").join(theirs, ["qd", "qh", "q_at"], "left")
+        both = _joined(run.withColumn("at", F.col("i") + F.col("run")).withColumn("q_at", F.col("qi") + F.col("run")), mine, ["d", "h", "at"], "left")
+        both = _joined(both, theirs, ["qd", "qh", "q_at"], "left")
         new, new_path = stored(both.select("d", "h", "i", "qd", "qh", "qi", (F.col("run") + F.when(F.col("mine") == F.col("theirs"), 1 << k).otherwise(0)).alias("run")), "runs")
         drop_path(lines.sparkSession, path)
         run, path = new, new_path
@@ -167,7 +174,7 @@ def deleted_places(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: in
     runs = maximal_runs(lines, min_lines=min_lines, min_words=min_words)
     places = runs.select("d", "h", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("run") - 1)).alias("i"))
     # every line of a run is repeated, so its position is among these
-    return places.join(lines.select("d", "h", "i", "p"), ["d", "h", "i"]).groupBy("d", "h").agg(F.collect_set("p").alias("places"))
+    return _joined(places, lines.select("d", "h", "i", "p"), ["d", "h", "i"]).groupBy("d", "h").agg(F.collect_set("p").alias("places"))
 
 
 def dedup_lines(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
@@ -176,7 +183,7 @@ def dedup_lines(docs: DataFrame, *, min_lines: int = MIN_LINES, min_words: int =
     found, _ = stored(deleted_places(docs, min_lines=min_lines, min_words=min_words), "places")
     found = found.toDF("__pd", "__ph", "__places")
     keyed = docs.withColumn("__d", _id()).withColumn("__h", F.xxhash64("text"))
-    joined = keyed.join(found, (F.col("__d") == F.col("__pd")) & (F.col("__h") == F.col("__ph")), "left")
+    joined = _joined(keyed, found, (F.col("__d") == F.col("__pd")) & (F.col("__h") == F.col("__ph")), "left")
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__places"))
     # the lines are bound once, as the one element of an array; inside the inner function they are a value

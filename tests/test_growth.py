@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from tessera.llm.registry import QUERIES as QUERIES_OF_OPERATORS
 from tessera.queries import all_queries
 
 QUERIES, SQL = all_queries()
@@ -103,3 +104,9 @@ def test_pairs_of_a_large_bucket_that_later_tiers_part_are_compared(spark, monke
     meant = [i for i in range(0, 40, 2) if sketches[i] & sketches[i + 1]]
     assert len(meant) >= 15 and all(near_dup.similarity(codes[i].tolist(), codes[i + 1].tolist()) >= 0.8 for i in meant)
     assert [found[i + 1] for i in meant] == meant and all(found[i] == i for i in range(0, 40, 2))
+
+
+def test_line_dedup_broadcasts_no_table(spark, sf):
+    # rows of numbers are small in files and large in the driver
+    plan = QUERIES_OF_OPERATORS["op2_line_dedup"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
