@@ -13,7 +13,8 @@ get the name of their shard and of the attempt; the manifest, written through Sp
 the attempt that counted, so a lost executor or a repeated task leaves no half shard.
 
 The tokenizer caches pieces between blanks and line ends: normalisation and pre-tokenisation of the tokenizer never
-look across such a blank, so the ids of a text are the ids of its pieces in a row. Where samples show that the tokenizer
+look across such a blank, so the ids of a text are the ids of its pieces in a row. Arrow splits the texts, tells a slice's
+pieces apart and puts their ids together; Python sees the distinct ones only. Where samples show that the tokenizer
 takes a word and the signs behind it apart, or lowers ASCII, words and signs are cached for themselves, but only if the
 word's last letter comes before U+0100: in normal form and lower case that is one letter still. Others (a dotted capital I,
 some Hindi and Bengali letters) end in a combining mark then, which goes with the signs; their pieces are taken whole. The cache is emptied at ``CACHE_PIECES`` entries.
@@ -26,7 +27,6 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -100,26 +100,40 @@ class PieceEncoder:
             out[piece] = np.array(e.ids, self.kind).tobytes()
         return out
 
-    def _parts(self, piece: str) -> tuple[str, str]:
-        """A word in lower case and the signs behind it, where the tokenizer takes them so; else the piece and nothing."""
-        word = piece.rstrip(_SIGNS) if self.parted else piece
-        if not word.isalpha() or word[-1] > "\u00ff":
-            word = piece
-        return word.lower() if self.lowers and word.isascii() else word, piece[len(word) :]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def _parts(self, pieces: pa.LargeStringArray) -> pa.LargeStringArray:
+        """Two for each piece: a word in lower case and the signs behind it, where the tokenizer takes them so; else the piece and nothing."""
+        if self.lowers:
+            pieces = pc.if_else(pc.string_is_ascii(pieces), pc.ascii_lower(pieces), pieces)
+        lengths = pc.binary_length(pieces)
+        if self.parted:
+            words = pc.utf8_rtrim(pieces, characters=_SIGNS)
+            known = pc.and_(pc.utf8_is_alpha(words), pc.less_equal(pc.utf8_slice_codeunits(words, -1), "\u00ff"))
+            lengths = pc.if_else(known, pc.binary_length(words), lengths)
+        begins = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1, pieces.offset * 8)
+        cuts = np.empty(2 * len(pieces) + 1, np.int64)
+        cuts[::2] = begins
+        cuts[1::2] = begins[:-1] + lengths.to_numpy()
+        return pa.LargeStringArray.from_buffers(2 * len(pieces), pa.py_buffer(cuts), pieces.buffers()[2])
+
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
         """The ids of each text, as bytes of ``kind``."""
         if len(self.cache) > CACHE_PIECES:
             self.cache.clear()
-        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
-        pieces = list(dict.fromkeys(chain.from_iterable(split)))  # this batch's, in a small table
-        words, signs = zip(*map(self._parts, pieces))
-        cache = self.cache
-        missing = {x for x in chain(words, signs) if x not in cache}
+        texts = pc.fill_null((texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_string()), "")
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        places = np.asarray(split.offsets) - split.offsets[0].as_py()
+        pieces = split.flatten().dictionary_encode()  # this batch's, in a small table
+        parts = self._parts(pieces.dictionary).dictionary_encode()
+        cache, known = self.cache, parts.dictionary.to_pylist()
+        missing = [x for x in known if x not in cache]
         if missing:
-            cache.update(self._encoded(list(missing)))
-        found = dict(zip(pieces, map(bytes.__add__, map(cache.__getitem__, words), map(cache.__getitem__, signs))))
-        return [b"".join(map(found.__getitem__, pieces)) for pieces in split]
+            cache.update(self._encoded(missing))
+        found = pa.array([cache[x] for x in known], pa.large_binary()).take(parts.indices)
+        ends = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1, found.offset * 8)[::2]  # of a piece: its word's and signs' ids
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(np.ascontiguousarray(ends)), found.buffers()[2]]).take(pieces.indices)
+        cuts = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1, found.offset * 8)[places].tolist()
+        data = memoryview(found.buffers()[2] or b"")
+        return [bytes(data[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 class ShardWriter:
@@ -203,7 +217,7 @@ def _writer(folder: str, tokenizer_path: str, end_id: int | None, sequence: int,
                 out, docs = ShardWriter(sink, encoder.kind, sequence, batch_rows), pa.ipc.new_stream(docs_sink, schema)
                 first = batch.column(0)[0].as_py()
             places, lengths = [], []
-            for ids in encoder.encode(batch.column(1).to_pylist()):
+            for ids in encoder.encode(batch.column(1)):
                 ids += end
                 places.append(out.n_ids)
                 lengths.append(len(ids) // width)

@@ -736,3 +736,24 @@ def test_token_slices_keep_all_rows_in_order(monkeypatch):
     found = [s.column(1).to_pylist() for s in token_output._slices(batches)]
     assert sum(found, []) == sum(parts, []) and len(found) > 2 and all(found)
     assert list(token_output._slices([])) == []
+
+
+def test_encoding_makes_no_object_a_piece():
+    """Ids of Arrow texts, sliced and with nulls, equal the tokenizer's; words that repeat cost no Python object each."""
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+
+    path = token_output.public_tokenizer()
+    encoder, plain = token_output.PieceEncoder(path), Tokenizer.from_file(path)
+    texts = pa.array(["left out", None, "", " ", "\n\n a  B.\n", "Déjà, DÉJÀ! W̊. é, 'S. x's.", "...", "Don't. İ., ÿ. Ā. 7) ²!", None, "left out"])
+    for part in (texts, texts[1:9], texts[1:2], texts[2:3], texts[:0]):
+        assert encoder.encode(part) == [np.array(plain.encode(t or "", add_special_tokens=False).ids, encoder.kind).tobytes() for t in part.to_pylist()]
+    many = pa.array(["one two, Three. " * 10_000] * 20)
+    encoder.encode(many)
+    tracemalloc.start()
+    found = encoder.encode(many)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 20 and len(set(found)) == 1
+    assert peak < 8 * sum(map(len, found))  # a list of 600,000 pieces alone is beyond that
