@@ -63,7 +63,28 @@ def remap_classes(parsed: DataFrame) -> DataFrame:
 
 
 def dangling(parsed: DataFrame) -> DataFrame:
-    """Ends of relations that aren't among the entities of their topic."""
-    entities = parsed.where("kind = 'entity'").select("doc_id", "topic", F.col("a").alias("name"))
-    ends = parsed.where("kind = 'relation'").select("doc_id", "topic", F.explode(F.array("a", "c")).alias("name"))
-    return ends.join(entities, ["doc_id", "topic", "name"], "left_anti").distinct()
+    """Ends of relations that aren't among the entities of their topic, in one pass over the parsed rows."""
+    is_end = F.col("kind") == "relation"
+    # what has no document, topic or name equals nothing, as in a join
+    rows = parsed.where("kind = 'relation' OR kind = 'entity' AND doc_id IS NOT NULL AND topic IS NOT NULL AND a IS NOT NULL")
+    named = rows.select("doc_id", "topic", is_end.alias("is_end"), F.explode(F.when(is_end, F.array("a", "c")).otherwise(F.array("a"))).alias("name"))
+    return named.groupBy("doc_id", "topic", "name").agg(F.bool_and("is_end").alias("all_ends")).where("all_ends").select("doc_id", "topic", "name")
+
+
+def _dangler(batches):
+    for batch in batches:
+        rows = []
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            parsed = parse(text)
+            entities = {(topic, a) for topic, kind, a, _, _ in parsed if kind == "entity" and topic is not None and doc is not None}
+            ends = dict.fromkeys((topic, end) for topic, kind, a, _, c in parsed if kind == "relation" for end in (a, c))
+            rows += [(doc, *end) for end in ends if end not in entities]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64() if i == 0 else pa.string()) for i in range(3)], names=["doc_id", "topic", "name"])
+
+
+def dangling_in(docs: DataFrame) -> DataFrame:
+    """``dangling`` read off the texts, without a shuffle; ``docs``: doc_id, text, one row a document."""
+    from ..workers import ship
+
+    ship(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_dangler, "doc_id long, topic string, name string")

@@ -141,7 +141,7 @@ def validate_entities(spark, d):
 
 @query(f"WITH l AS ({_LINES}) SELECT DISTINCT l_orderkey AS doc_id, s_name AS name FROM l WHERE NOT EXISTS (SELECT 1 FROM l m WHERE m.l_orderkey = l.l_orderkey AND m.s_name = l.s_name AND m.l_linenumber % 5 <> 0)")
 def dangling_refs(spark, d):
-    return T.dangling(T.parse_topics(_topic_texts(spark, d))).select("doc_id", "name")
+    return T.dangling_in(_topic_texts(spark, d)).select("doc_id", "name")
 
 
 _JOB = (200, 400_000, 50)  # requests, bytes, fewest requests

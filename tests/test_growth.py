@@ -110,3 +110,27 @@ def test_line_dedup_broadcasts_no_table(spark, sf):
     # rows of numbers are small in files and large in the driver
     plan = QUERIES_OF_OPERATORS["op2_line_dedup"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_dangling_ends_are_found_in_one_pass(spark, sf):
+    from tessera.operators import topics as T
+
+    texts = [
+        (1, "entities:\nA|x\nentity-entity relationships:\nA|r|B\nB|r|A\ntopic: t\nentities:\nB|x\nentity-entity relationships:\nB|r|C\nC|r|C\nA|r|B\ntopic: t\nentities:\nC|x"),
+        (2, "topic: t\nentity-entity relationships:\nA|r|B"),
+        (3, None),
+        (None, "topic: t\nentities:\nA|x\nentity-entity relationships:\nA|r|B"),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    expected = {(1, None, "A"), (1, None, "B"), (1, "t", "A"), (2, "t", "A"), (2, "t", "B"), (None, "t", "A"), (None, "t", "B")}
+    parsed = T.parse_topics(docs)
+    for found in (T.dangling_in(docs), T.dangling(parsed)):
+        rows = [tuple(r) for r in found.collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == expected
+    # entities of another row of the document count where rows are parsed
+    rest = T.parse_topics(spark.createDataFrame([(2, "topic: t\nentities:\nB|x")], "doc_id long, text string"))
+    assert [tuple(r) for r in T.dangling(parsed.union(rest)).where("doc_id = 2").collect()] == [(2, "t", "A")]
+    # the texts are made, and read, once; nothing is joined to itself
+    plan = QUERIES["dangling_refs"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "LeftAnti" not in plan and plan.count("Aggregate") == 1
+    assert T.dangling(parsed)._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
