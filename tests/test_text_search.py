@@ -51,3 +51,47 @@ def test_ranked_search(block_docs, spark, tmp_path, monkeypatch):
 def test_no_documents(spark, tmp_path):
     text_search.build(spark.createDataFrame([], "id long, text string"), f"file://{tmp_path}/none")
     assert text_search.search(f"file://{tmp_path}/none", spark.createDataFrame([(1, "a")], "query_id long, query string")).count() == 0
+
+
+def _shuffled(spark):
+    """Rows written to shuffles so far."""
+    gateway = spark.sparkContext._gateway
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_words_do_not_move_one_by_one(spark, tmp_path):
+    rng = random.Random(5)
+    docs = [(i, " ".join(rng.choices([f"w{j}" for j in range(300)], k=400))) for i in range(1500)]
+    rows = spark.createDataFrame(docs, "id long, text string").repartition(2).cache()
+    rows.count()
+    queries = spark.createDataFrame([(1, "w1 w2"), (2, " ".join(f"w{j}" for j in range(300)))], "query_id long, query string")
+    index = f"file://{tmp_path}/index"
+    before = _shuffled(spark)
+    text_search.build(rows, index)
+    built = _shuffled(spark)
+    lists = spark.read.parquet(f"{index}/postings")
+    n, entries = lists.count(), lists.selectExpr("sum(size(entries))").first()[0]
+    assert entries > 100 * n
+    assert built - before <= n + 100  # the rows of the index, not those of its 600,000 words or of its entries
+    built = _shuffled(spark)
+    found = text_search.search(index, queries, 5).where("query_id = 1").collect()
+    assert _shuffled(spark) - built < 4 * (n + len(docs))  # a term's lists aren't sent to one task; scores are
+    assert [r["id"] for r in sorted(found, key=lambda r: r["rank"])] == [i for i, _ in brute(docs, "w1 w2", 5)]
+
+
+def test_blocks_hold_documents_once_and_filters_change_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(text_search, "BLOCK_DOCS", 7)
+    docs = [(f"d{i:03d}", f"all t{i % 10} T{i % 3} all") for i in range(100)] + [("none", "?!"), ("null", None)]
+    index = f"file://{tmp_path}/index"
+    text_search.build(spark.createDataFrame(docs, "id string, text string").repartition(3), index)
+    lists = [r for r in spark.read.parquet(f"{index}/postings").where("term = 'all'").collect()]
+    assert sorted(e["id"] for r in lists for e in r["entries"]) == [i for i, _ in docs[:100]]
+    assert all(r["n"] == len(r["entries"]) <= 7 and r["largest"] == max(e["weight"] for e in r["entries"]) for r in lists) and len({r["block"] for r in lists}) == len(lists)
+    assert {(e["length"], *e["places"]) for r in lists for e in r["entries"]} == {(4, 0, 3)}
+    queries = spark.createDataFrame([(1, "t1 t5"), (2, "all")], "query_id long, query string")
+    results = []
+    for terms in (1000, 1):
+        monkeypatch.setattr(text_search, "FILTER_TERMS", terms)
+        results.append(sorted(map(tuple, text_search.search(index, queries, 4).collect()), key=lambda r: (r[0], r[3])))
+    assert results[0] == results[1] and [r[1] for r in results[0] if r[0] == 1] == [i for i, _ in brute(docs, "t1 t5", 4)]
