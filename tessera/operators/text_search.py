@@ -2,8 +2,8 @@
 
 The index is a table with a row for each term and block of documents: the documents that hold the term, with its count, its
 places and the document's length, how many they are and the largest weight that the term has in the block. Blocks are runs of documents as
-they are read, at most ``BLOCK_DOCS``, so a common term is many rows, no one of them large, and a task makes the rows of its blocks itself: only whole
-rows move. The table is sorted by term within its files; up to ``FILTER_TERMS`` terms of a search reach the scan as a filter.
+they are dealt, at most ``BLOCK_DOCS``, so a common term is many rows, no one of them large. A task makes and sorts the rows of ``TASK_DOCS`` documents
+or so, and writes a file of them: documents move once, their words don't. The table is sorted by term within its files; up to ``FILTER_TERMS`` terms of a search reach the scan as a filter.
 
 A search takes each query's bounds first: a block can't hold a better document than the sum of its terms' largest weights. The
 most promising block is scored, and its k-th score is one that the result will reach; blocks whose bound is below it
@@ -24,6 +24,7 @@ from ..workers import ship
 K1, B = 1.2, 0.75
 TERM = "[a-z0-9]+"
 BLOCK_DOCS = 512
+TASK_DOCS = 8 * BLOCK_DOCS
 FILTER_TERMS = 1000
 
 
@@ -46,10 +47,11 @@ def build(docs: DataFrame, path: str) -> None:
     lengths, held = stored(docs.select("id", F.array_join(found, " ").alias("words"), F.size(found).alias("length")), "words")
     totals = lengths.agg(F.count("*").alias("n"), F.coalesce(F.avg("length"), F.lit(0.0)).alias("mean"))
     totals.write.parquet(f"{path}/totals")
-    mean = spark.read.parquet(f"{path}/totals").first()["mean"] or 1.0
+    total = spark.read.parquet(f"{path}/totals").first()
     entry = f"struct<id: {docs.schema['id'].dataType.simpleString()}, weight: double, length: int, places: array<int>>"
-    lists = lengths.where("length > 0").mapInArrow(_lister(BLOCK_DOCS, mean), f"term string, block long, n int, largest double, entries array<{entry}>")
-    lists.repartition("term", "block").sortWithinPartitions("term").write.parquet(f"{path}/postings")
+    dealt = lengths.where("length > 0").repartition(max(1, -(-total["n"] // TASK_DOCS)), "id")
+    lists = dealt.mapInArrow(_lister(BLOCK_DOCS, total["mean"] or 1.0), f"term string, block long, n int, largest double, entries array<{entry}>")
+    lists.sortWithinPartitions("term").write.parquet(f"{path}/postings")
     drop_path(spark, held)
 
 

@@ -73,7 +73,7 @@ def test_words_do_not_move_one_by_one(spark, tmp_path):
     lists = spark.read.parquet(f"{index}/postings")
     n, entries = lists.count(), lists.selectExpr("sum(size(entries))").first()[0]
     assert entries > 100 * n
-    assert built - before <= n + 100  # the rows of the index, not those of its 600,000 words or of its entries
+    assert built - before <= len(docs) + 100  # the documents, not their 600,000 words or the index's entries
     built = _shuffled(spark)
     found = text_search.search(index, queries, 5).where("query_id = 1").collect()
     assert _shuffled(spark) - built < 4 * (n + len(docs))  # a term's lists aren't sent to one task; scores are
