@@ -14,10 +14,11 @@ the attempt that counted, so a lost executor or a repeated task leaves no half s
 
 The tokenizer caches pieces between blanks and line ends: normalisation and pre-tokenisation of the tokenizer never
 look across such a blank, so the ids of a text are the ids of its pieces in a row. Arrow splits the texts, tells a slice's
-pieces apart and puts their ids together; Python sees the distinct ones only. Where samples show that the tokenizer
+pieces apart, finds the known ones and puts their ids together; Python sees the others only. Where samples show that the tokenizer
 takes a word and the signs behind it apart, or lowers ASCII, words and signs are cached for themselves, but only if the
 word's last letter comes before U+0100: in normal form and lower case that is one letter still. Others (a dotted capital I,
-some Hindi and Bengali letters) end in a combining mark then, which goes with the signs; their pieces are taken whole. The cache is emptied at ``CACHE_PIECES`` entries.
+some Hindi and Bengali letters) end in a combining mark then, which goes with the signs; their pieces are taken whole. The cache is two Arrow arrays, the
+pieces and their ids, without an object for each, and is emptied at ``CACHE_PIECES`` entries.
 
 Edge cases: a null text is an empty one, and has the end id only. Null doc_ids come first. Rows that repeat a doc_id
 stand in order of their texts. An empty table gives no shard and no row. Other columns are not read.
@@ -67,7 +68,7 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.cache: dict[str, bytes] = {}
+        self._forget()
         alone, between = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in (_MARK, f"a {_MARK} a"))
         self.mark = alone[0] if len(alone) == 1 and between.count(alone[0]) == 1 else None
         ids = lambda *texts: [i for t in texts for i in self.tokenizer.encode(t, add_special_tokens=False).ids]
@@ -76,6 +77,9 @@ class PieceEncoder:
         self.parted = all(ids(w + s) == ids(w, s) for w, s in samples)
         self.lowers = all(ids(w) == ids(w.lower()) for w in ("Word", "WORD", "wOrD", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
 
+    def _forget(self) -> None:
+        self.known, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
     @classmethod
     def of(cls, path: str) -> PieceEncoder:
         """One for each Python worker."""
@@ -115,20 +119,29 @@ class PieceEncoder:
         cuts[1::2] = begins[:-1] + lengths.to_numpy()
         return pa.LargeStringArray.from_buffers(2 * len(pieces), pa.py_buffer(cuts), pieces.buffers()[2])
 
+    def _ids_of(self, parts: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """The ids of distinct pieces, from the cache or else the tokenizer."""
+        places = pc.index_in(parts, value_set=self.known)
+        new = places.is_null()
+        missing = parts.filter(new)
+        if len(missing):
+            pieces = missing.to_pylist()
+            encoded = self._encoded(pieces)
+            places = pc.replace_with_mask(places, new, pa.array(np.arange(len(self.known), len(self.known) + len(pieces), dtype=np.int32)))
+            self.known = pa.concat_arrays([self.known, missing])
+            self.ids = pa.concat_arrays([self.ids, pa.array([encoded[x] for x in pieces], pa.large_binary())])
+        return self.ids.take(places)
+
     def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
         """The ids of each text, as bytes of ``kind``."""
-        if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
+        if len(self.known) > CACHE_PIECES:
+            self._forget()
         texts = pc.fill_null((texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_string()), "")
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         places = np.asarray(split.offsets) - split.offsets[0].as_py()
         pieces = split.flatten().dictionary_encode()  # this batch's, in a small table
         parts = self._parts(pieces.dictionary).dictionary_encode()
-        cache, known = self.cache, parts.dictionary.to_pylist()
-        missing = [x for x in known if x not in cache]
-        if missing:
-            cache.update(self._encoded(missing))
-        found = pa.array([cache[x] for x in known], pa.large_binary()).take(parts.indices)
+        found = self._ids_of(parts.dictionary).take(parts.indices)
         ends = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1, found.offset * 8)[::2]  # of a piece: its word's and signs' ids
         found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(np.ascontiguousarray(ends)), found.buffers()[2]]).take(pieces.indices)
         cuts = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1, found.offset * 8)[places].tolist()
@@ -179,6 +192,7 @@ class ShardWriter:
 
 
 _MANIFEST = "shard int, folder string, ids_file string, docs_file string, first_doc long, n_docs long, n_ids long, header long, stride long"
+_SHARD = pa.schema([(name, {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}[kind]) for name, kind in (x.split() for x in _MANIFEST.split(", "))])
 
 
 def _slices(batches):
@@ -224,14 +238,14 @@ def _writer(folder: str, tokenizer_path: str, end_id: int | None, sequence: int,
                 out.add(ids)
             n_docs += batch.num_rows
             docs.write_batch(pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.int64()), pa.array(lengths, pa.int64())], schema=schema))
+            pa.default_memory_pool().release_unused()  # the worker lives on, and what Arrow freed would stay with it
         if out is not None:
             out.close()
             docs.close()
             sink.close()
             docs_sink.close()
             row = [shard, folder, f"ids-{name}", f"docs-{name}", first, n_docs, out.n_ids, out.header, out.stride]
-            kinds = [pa.int32(), pa.string(), pa.string(), pa.string(), *[pa.int64()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[x.split()[0] for x in _MANIFEST.split(", ")])
+            yield pa.RecordBatch.from_pylist([dict(zip(_SHARD.names, row))], _SHARD)
 
     return write
 
@@ -253,12 +267,15 @@ def write_tokens(docs: DataFrame, folder: str, *, tokenizer_path: str | None = N
 
 
 def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """The shards of ``folder`` with ``start``; one row a shard, so the running sum is the driver's."""
+    """The shards of ``folder`` with ``start``; one row a shard, so the running sum is the driver's.
+
+    It goes back as an Arrow table: a list would be read by Python workers of another kind, which stay beside those that encode.
+    """
     shards, start = [], 0
     for row in sorted(spark.read.parquet(f"{folder}/manifest").collect(), key=lambda r: r["shard"]):
-        shards.append((*row, start))
+        shards.append(row.asDict() | {"start": start})
         start += row["n_ids"]
-    return spark.createDataFrame(shards, _MANIFEST + ", start long")
+    return spark.createDataFrame(pa.Table.from_pylist(shards, _SHARD.append(pa.field("start", pa.int64()))))
 
 
 def marked(mask: np.ndarray) -> np.ndarray:

@@ -757,3 +757,34 @@ def test_encoding_makes_no_object_a_piece():
     tracemalloc.stop()
     assert len(found) == 20 and len(set(found)) == 1
     assert peak < 8 * sum(map(len, found))  # a list of 600,000 pieces alone is beyond that
+
+
+def test_cached_pieces_are_held_without_objects(monkeypatch):
+    """A worker keeps its cache from task to task: 200,000 pieces take less than a dict's slots alone would, and come back right."""
+    import sys
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+
+    path = token_output.public_tokenizer()
+    encoder, plain = token_output.PieceEncoder(path), Tokenizer.from_file(path)
+    texts = [" ".join(f"w{i:x}z" for i in range(at, at + 20_000)) for at in range(0, 200_000, 20_000)]
+    expected = [np.array(e.ids, encoder.kind).tobytes() for e in plain.encode_batch_fast(texts, add_special_tokens=False)]
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    assert [encoder.encode([t])[0] for t in texts] == expected
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held + pa.total_allocated_bytes() - arrow < sys.getsizeof(dict.fromkeys(range(200_000)))
+    assert encoder.encode(texts[::-1]) == expected[::-1]  # all known
+    monkeypatch.setattr(token_output, "CACHE_PIECES", 30_000)  # emptied again and again
+    assert [encoder.encode([t])[0] for t in [*texts, *texts]] == [*expected, *expected]
+
+
+def test_manifest_needs_no_python_worker(spark, documents, tmp_path):
+    """The manifest goes to the reader from the JVM; Python workers read the shards only."""
+    folder = f"file://{tmp_path}/m"
+    manifest = token_output.write_tokens(documents.limit(50).select("doc_id", "text"), folder)
+    assert "python" not in manifest._jdf.queryExecution().toRdd().toDebugString().lower()
+    rows = sorted(map(tuple, manifest.collect()))
+    assert [r[-1] for r in rows] == [sum(x[6] for x in rows[:i]) for i in range(len(rows))] and manifest.dtypes == [(n, k.replace("long", "bigint")) for n, k in (x.split() for x in (token_output._MANIFEST + ", start long").split(", "))]
